@@ -2,49 +2,72 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
+    DateType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
 BRONZE_DB, SILVER_DB, GOLD_DB, CONF_DB = "bronze", "invoices_silver", "invoices_gold", "conf"
 
-BRONZE = StructType.fromDDL(
+TYPES = {
+    "string": StringType(), "bigint": LongType(), "int": IntegerType(), "double": DoubleType(), "date": DateType(),
+    "timestamp": TimestampType(), "boolean": BooleanType(), "binary": BinaryType(),
+}
+
+
+def columns(text: str) -> StructType:
+    """A schema from ``name type, ...``, without needing a session as Spark's own reader does."""
+    pairs = [pair.split() for pair in text.split(",")]
+    return StructType([StructField(name, TYPES[kind]) for name, kind in pairs])
+
+
+BRONZE = columns(
     "id string, raw_json string, inserted_at timestamp, exclude_from_silver boolean, file_name_in_R2 string"
 )
 
-SILVER_DS1 = StructType.fromDDL(
+SILVER_DS1 = columns(
     "unique_invoice_line_no string, unique_invoice_no string, client string, client_tax_id string, "
     "iban string, invoice_date date, invoice_no string, seller string, seller_tax_id string, "
     "total_net_worth double, total_vat double, item_desc string, item_net_price double, "
     "item_qty bigint, item_vat double"
 )
 
-SILVER_DS2 = StructType.fromDDL(
+SILVER_DS2 = columns(
     "unique_invoice_line_no string, unique_invoice_no string, client string, client_address string, "
     "invoice_date date, discount double, order_id string, shipping double, item_desc string, "
     "item_rate double, item_qty bigint"
 )
 
-DIM_VENDOR = StructType.fromDDL(
+DIM_VENDOR = columns(
     "data_source_id string, vendor_no_id string, vendor_no string, vendor_desc string, vendor_address string"
 )
 
-DIM_BUYER = StructType.fromDDL(
+DIM_BUYER = columns(
     "data_source_id string, buyer_no_id string, buyer_no string, buyer_desc string, buyer_address string"
 )
 
-FACT_INVOICE_LINE = StructType.fromDDL(
+FACT_INVOICE_LINE = columns(
     "row_id string, data_source_id string, unique_invoice_line_no string, unique_invoice_no string, "
     "vendor_no_id string, buyer_no_id string, spend double, iban string, invoice_date date, "
     "invoice_no string, item_desc string, item_net_price double, item_qty bigint"
 )
 
-CONF_DATA_SOURCE = StructType.fromDDL("id bigint, name string, source_link string")
+CONF_DATA_SOURCE = columns("id bigint, name string, source_link string")
 
 # Layout of Spark's binaryFile source; a streaming read must be given it.
-BINARY_FILE = StructType.fromDDL("path string, modificationTime timestamp, length bigint, content binary")
+BINARY_FILE = columns("path string, modificationTime timestamp, length bigint, content binary")
 
-LEDGER = StructType.fromDDL("source_id int, file string, state string, last_modified timestamp, outcome string")
+LEDGER = columns("source_id int, file string, state string, last_modified timestamp, outcome string")
 
-EXTRACTED = StructType.fromDDL("path string, modificationTime timestamp, json string, error string")
+EXTRACTED = columns("path string, modificationTime timestamp, json string, error string")
 
 TABLES: dict[str, StructType] = {
     f"{BRONZE_DB}.ds_1_raw_json": BRONZE,
