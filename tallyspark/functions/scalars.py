@@ -53,8 +53,12 @@ def safe_int(text: Column) -> Column:
 
 
 def safe_int_via_double(text: Column) -> Column:
-    """Through a float, rounding half away from zero; NULL for nan, inf and overflow."""
-    return F.round(safe_double(text)).try_cast("bigint")
+    """Through a float, rounding half away from zero; NULL for nan, inf and overflow.
+
+    2**63 itself is tested for, since as a float it passes Spark's own overflow check.
+    """
+    rounded = F.round(safe_double(text))
+    return F.when((rounded >= -(2.0**63)) & (rounded < 2.0**63), rounded.try_cast("bigint"))
 
 
 def clean_money(text: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from typing import Protocol
 
 import pandas as pd
@@ -28,20 +28,15 @@ class Extractor(Protocol):
 
 
 class HtmlExtractor:
-    """Reads labelled fields from a page: one pattern with one group per label.
+    """Reads labelled fields from a page: one pattern with one group per label, by section.
 
     A page that does not end in ``</html>`` was cut off and is refused.
     """
 
-    # Printed label -> pattern, per section.
-    HEADER = {"Bill To": r'<html lang="([a-z]+)"', "Address": r"<footer>&copy; (\S+) "}
-    ITEM = {"Item": r"<title>([^<]*)</title>", "Quantity": r"track\((\d+)\)", "Rate": r"<!-- ad (\d+) -->"}
-    SUMMARY = {"Order ID": r"<!-- ad (\d+) -->"}
-
-    def __init__(self) -> None:
+    def __init__(self, labels: Mapping[str, Mapping[str, str]]) -> None:
         self.patterns = {
-            section: {label: re.compile(p) for label, p in labels.items()}
-            for section, labels in (("header", self.HEADER), ("items", self.ITEM), ("summary", self.SUMMARY))
+            section: {label: re.compile(pattern) for label, pattern in patterns.items()}
+            for section, patterns in labels.items()
         }
 
     def extract(self, content: bytes) -> dict:
@@ -49,7 +44,7 @@ class HtmlExtractor:
         if not html.endswith("</html>"):
             raise ValueError("truncated document")
         found = {
-            section: {label: m.group(1) for label, p in patterns.items() if (m := p.search(html))}
+            section: {label: m.group(1) for label, pattern in patterns.items() if (m := pattern.search(html))}
             for section, patterns in self.patterns.items()
         }
         return {**found, "items": [found["items"]]}
@@ -126,6 +121,6 @@ def page_payload(pages: Column) -> Column:
     return F.coalesce(first["extracted_data"], first["raw_text"])
 
 
-def first_page(df: DataFrame, document: str, page: str) -> DataFrame:
-    """The lowest page of each document."""
-    return latest_per_key(df, [document], [page])
+def first_page(df: DataFrame, document: str, pages: list[str]) -> DataFrame:
+    """The first page of each document in the order of the ``pages`` columns."""
+    return latest_per_key(df, [document], pages)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
 from tallyspark.schemas import TABLES
@@ -32,12 +32,11 @@ def create_all(spark: SparkSession, root: str, suffix: str = "") -> list[str]:
     return names
 
 
-def replace_table(spark: SparkSession, name: str, df: DataFrame, path: str) -> None:
-    """Write ``df`` to the unused ``path``, then point the table there.
+def publish_table(spark: SparkSession, name: str, schema: StructType, path: str) -> None:
+    """Let the table show the rows already written to ``path``.
 
-    Readers see the old rows until the one catalog change at the end.
+    Readers see the old rows until this one catalog change.
     """
-    df.write.parquet(path)
-    create_table(spark, name, df.schema, path)
+    create_table(spark, name, schema, path)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
     spark.catalog.refreshTable(name)

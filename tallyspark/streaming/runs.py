@@ -13,7 +13,7 @@ from tallyspark.operators.quality import gate
 from tallyspark.operators.upsert import read_table
 from tallyspark.plans.gold import star
 from tallyspark.schemas import GOLD_DB, SILVER_DB
-from tallyspark.sources.ddl import create_schema, replace_table
+from tallyspark.sources.ddl import create_schema, publish_table
 from tallyspark.sources.files import MAX_FILES_PER_BATCH, read_files
 from tallyspark.sources.ledger import PROCESSED, STARTED, UNPROCESSED, requeue_stale
 from tallyspark.sources.registry import SOURCES, source_spec
@@ -68,7 +68,7 @@ class Run:
         report = gate(tables)
         create_schema(self.spark, self.database, f"{self.root}/published")
         for name, path in versions.items():
-            replace_table(self.spark, f"{self.database}.{name}", gold[name], path)
+            publish_table(self.spark, f"{self.database}.{name}", gold[name].schema, path)
         return report
 
     def outcomes(self) -> DataFrame:
