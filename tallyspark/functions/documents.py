@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from typing import TYPE_CHECKING
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
@@ -27,35 +27,35 @@ def document_type(spec: SourceSpec) -> StructType:
     ])
 
 
-def parse_document(raw: Column, spec: SourceSpec) -> Column:
-    """Read all fields of a document with one pass over its text.
+def parse_documents(df: DataFrame, json_col: str, spec: SourceSpec, out: str = "document") -> DataFrame:
+    """Add the struct column ``out`` with all fields of a document, read in one pass over its text.
 
     Every leaf is a string or NULL, as a path look-up per field would give. A typed parse differs
     from that in two rare cases: it prints an object or array found at a leaf, and one odd element
     makes it drop the whole item list. Only documents that show such signs are parsed again,
     piece by piece.
+
+    The parsed struct is a column of its own projection. Inside one expression each use of a field
+    would become a parse of its own.
     """
     fields = document_type(spec)
     wrapper = spec.root.removeprefix("$").removeprefix(".")
     target = StructType([StructField(wrapper, fields)]) if wrapper else fields
-    parsed = F.from_json(raw, target)
-    document = parsed[wrapper] if wrapper else parsed
-
-    def bracketed(struct: Column, section: Aliases) -> list[Column]:
-        return [F.coalesce(struct[name].rlike(r"^\s*[\[{]"), F.lit(False)) for name in section]
+    parsed = df.withColumn("_parsed", F.from_json(F.col(json_col), target))
+    document = F.col("_parsed")[wrapper] if wrapper else F.col("_parsed")
 
-    def any_of(tests: list[Column]) -> Column:
+    def bracketed(struct: Column, section: Aliases) -> Column:
+        tests = [F.coalesce(F.substring(struct[name], 1, 1).isin("{", "["), F.lit(False)) for name in section]
         return reduce(lambda a, b: a | b, tests)
 
     odd = (
         document["items"].isNull()
-        | any_of(bracketed(document["header"], spec.header))
-        | any_of(bracketed(document["summary"], spec.summary))
-        | F.exists(document["items"], lambda item: item.isNull() | any_of(bracketed(item, spec.items)))
+        | bracketed(document["header"], spec.header)
+        | bracketed(document["summary"], spec.summary)
+        | F.exists(document["items"], lambda item: item.isNull() | bracketed(item, spec.items))
     )
-    plain = F.struct(document["header"].alias("header"), document["items"].alias("items"),
-                     document["summary"].alias("summary"))
-    return F.when(odd, _parse_piecewise(raw, spec)).otherwise(plain)
+    plain = F.struct(*[document[name].alias(name) for name in ("header", "items", "summary")])
+    return parsed.withColumn(out, F.when(odd, _parse_piecewise(F.col(json_col), spec)).otherwise(plain)).drop("_parsed")
 
 
 def _parse_piecewise(raw: Column, spec: SourceSpec) -> Column:
@@ -112,4 +112,4 @@ def is_valid(raw: Column, spec: SourceSpec) -> Column:
     )
 
 
-__all__ = ["document_type", "is_valid", "parse_document", "resolve_aliases"]
+__all__ = ["document_type", "is_valid", "parse_documents", "resolve_aliases"]

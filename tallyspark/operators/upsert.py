@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BUCKET = "bucket"
@@ -47,21 +47,36 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
     return spark.read.parquet(path).drop(BUCKET) if path_exists(spark, path) else None
 
 
-def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: str, buckets: int = 64) -> None:
+def bucket_of(*keys: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def touched_buckets(rows: DataFrame) -> list[int]:
+    """The bucket numbers found in ``rows``: small integers, at most one per bucket of the layout.
+
+    They are listed so that Spark prunes folders before it looks at any file.
+    """
+    return [r[0] for r in rows.select(BUCKET).distinct().collect()]
+
+
+def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: str, buckets: int = 256) -> None:
     """Merge ``source`` into the parquet table at ``path``, rewriting only the buckets it touches.
 
     Rows live in ``bucket = pmod(xxhash64(key), buckets)`` folders, so a batch reads and replaces
     the folders its keys fall into and leaves the rest alone. ``buckets`` is a layout constant of
-    the table: choose it so that one folder is a few files. A replayed batch finds its own
+    the table; choose it so that one folder is a file or a few. A replayed batch finds its own
     rows, replaces them by the same rows and changes nothing.
+
+    The source is written beside the table first: the key check, the merge and the choice of
+    folders then read it without running its plan again.
     """
-    source = source.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
-    merged = source
+    incoming = f"{path}.incoming"
+    keyed = source.withColumn(BUCKET, bucket_of(F.col(key), buckets=buckets))
+    keyed.write.mode("overwrite").parquet(incoming)
+    merged = keyed = spark.read.schema(keyed.schema).parquet(incoming)
     if path_exists(spark, path):
-        target = spark.read.schema(source.schema).parquet(path)
-        # At most ``buckets`` small integers; the list prunes folders when files are listed.
-        touched = [r[0] for r in source.select(BUCKET).distinct().collect()]
-        merged = upsert(target.filter(F.col(BUCKET).isin(touched)), source, key)
+        target = spark.read.schema(keyed.schema).parquet(path)
+        merged = upsert(target.filter(F.col(BUCKET).isin(touched_buckets(keyed))), keyed, key)
     (
         # Rebalancing writes whole buckets per task but lets AQE split one that is too large.
         merged.hint("rebalance", BUCKET)

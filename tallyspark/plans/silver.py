@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyspark.functions import (
     clean_money,
     invoice_key,
-    parse_document,
+    parse_documents,
     safe_date,
     safe_double,
     safe_int,
@@ -17,6 +17,7 @@ from tallyspark.functions import (
 )
 from tallyspark.operators.dedup import latest_per_key
 from tallyspark.schemas import SILVER_DS1, SILVER_DS2
+from tallyspark.session import staged
 from tallyspark.sources.registry import DS1, DS2, SourceSpec
 
 INVOICE_COLUMNS = ["invoice_no", "client_tax_id", "seller_tax_id"]
@@ -32,7 +33,7 @@ def documents(bronze: DataFrame, spec: SourceSpec) -> DataFrame:
 
     A pure per-row step, so a load can append it batch by batch and never parse a text twice.
     """
-    parsed = included(bronze).select("id", "inserted_at", parse_document(F.col("raw_json"), spec).alias("d"))
+    parsed = parse_documents(included(bronze), "raw_json", spec, "d")
     return parsed.select("id", "inserted_at", "d.header.*", "d.summary.*", F.col("d.items").alias("items"))
 
 
@@ -43,10 +44,12 @@ def ds1_invoice_no() -> Column:
 
 
 def silver_ds1(bronze: DataFrame, keep: str = "one_line") -> DataFrame:
-    return silver_ds1_lines(documents(bronze, DS1), keep)
+    """Parse and write the documents once, for the plan scans them for rows and for descriptions."""
+    return silver_ds1_lines(staged(documents(bronze, DS1), DS1.bronze_table), keep)
 
 
 def silver_ds2(bronze: DataFrame) -> DataFrame:
+    """The plan scans the documents once, so they are parsed on the way."""
     return silver_ds2_lines(documents(bronze, DS2))
 
 
@@ -67,10 +70,10 @@ def silver_ds1_lines(docs: DataFrame, keep: str = "one_line") -> DataFrame:
     # A document without items contributes no line and cannot be the latest one.
     docs = docs.filter(F.size("items") > 0).withColumn("unique_invoice_no", ds1_invoice_no())
     latest = latest_per_key(docs, ["unique_invoice_no"], ["-inserted_at", "id"])
-    kept = F.slice("items", 1, 1) if keep == "one_line" else F.col("items")
+    kept = _kept(F.col("items"), keep)
 
-    counted = _lines_per_gap(docs, kept)
-    marks = _marks(kept).alias("marks")
+    counted = _lines_per_gap(docs, keep)
+    marks = _marks(kept["item_desc"]).alias("marks")
     numbered = latest.select("*", marks, F.posexplode(kept).alias("pos", "item")).join(
         counted, "unique_invoice_no", "left"
     )
@@ -101,12 +104,16 @@ def _sort_text(description: Column) -> Column:
     return F.when(description.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), description))
 
 
-def _marks(kept: Column) -> Column:
+def _kept(items: Column, keep: str) -> Column:
+    return F.slice(items, 1, 1) if keep == "one_line" else items
+
+
+def _marks(descriptions: Column) -> Column:
     """The distinct descriptions of an invoice's surviving lines, sorted."""
-    return F.array_sort(F.array_distinct(F.transform(kept, lambda i: _sort_text(i["item_desc"]))))
+    return F.array_sort(F.array_distinct(F.transform(descriptions, _sort_text)))
 
 
-def _lines_per_gap(docs: DataFrame, kept: Column) -> DataFrame:
+def _lines_per_gap(docs: DataFrame, keep: str) -> DataFrame:
     """``unique_invoice_no, gaps``: how many lines of an invoice sort into each gap of its marks.
 
     A line is in gap ``g`` if ``g`` marks are not above it, so it sorts before mark ``g`` (from
@@ -117,13 +124,15 @@ def _lines_per_gap(docs: DataFrame, kept: Column) -> DataFrame:
     counts are grouped by the invoice key and not by the join columns, so each task counts what
     it joined and only those counts are shuffled.
     """
-    slim = docs.select("unique_invoice_no", *INVOICE_COLUMNS, "inserted_at", "id",
-                       F.transform("items", lambda i: F.struct(i["item_desc"].alias("item_desc"))).alias("items"))
+    slim = docs.select(
+        "unique_invoice_no", *INVOICE_COLUMNS, "inserted_at", "id", F.col("items.item_desc").alias("descriptions")
+    )
     marks = latest_per_key(slim, ["unique_invoice_no"], ["-inserted_at", "id"]).select(
-        "unique_invoice_no", *[F.col(c).alias(f"_{c}") for c in INVOICE_COLUMNS], _marks(kept).alias("marks")
+        "unique_invoice_no", *[F.col(c).alias(f"_{c}") for c in INVOICE_COLUMNS],
+        _marks(_kept(F.col("descriptions"), keep)).alias("marks"),
     )
-    lines = slim.select(*INVOICE_COLUMNS, F.explode("items").alias("item")).select(
-        *INVOICE_COLUMNS, _sort_text(F.col("item.item_desc")).alias("text")
+    lines = slim.select(*INVOICE_COLUMNS, F.explode("descriptions").alias("description")).select(
+        *INVOICE_COLUMNS, _sort_text(F.col("description")).alias("text")
     )
     joined = lines.join(marks, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in INVOICE_COLUMNS])
     gap = F.size(F.filter("marks", lambda m: m <= F.col("text"))).alias("gap")
@@ -140,10 +149,13 @@ def silver_ds2_lines(docs: DataFrame) -> DataFrame:
     A line with neither rate nor quantity is a category heading read as an item; dropping it
     comes before choosing the latest line. All lines of a document tie on its insertion time, so
     the choice among its lines is made inside the document and documents, not lines, are ranked.
+
+    Documents without a usable line are ranked last and dropped then. Dropped earlier, they would
+    have Spark evaluate the parsing a second time in the pushed-down filter.
     """
     usable = F.filter("items", lambda i: i["item_rate"].isNotNull() | i["item_qty"].isNotNull())
-    lines = docs.withColumn("item", F.get(usable, F.lit(0))).filter(F.col("item").isNotNull()).drop("items")
-    latest = latest_per_key(lines, ["order_id", "client"], ["-inserted_at", "id"])
+    lines = docs.withColumn("item", F.get(usable, F.lit(0))).drop("items").withColumn("_none", F.col("item").isNull())
+    latest = latest_per_key(lines, ["order_id", "client"], ["_none", "-inserted_at", "id"]).filter(~F.col("_none"))
     return latest.select(
         surrogate_key(F.col("order_id"), F.col("item.item_desc")).alias("unique_invoice_line_no"),
         surrogate_key(F.col("order_id"), F.col("client")).alias("unique_invoice_no"),

@@ -4,7 +4,8 @@ Folders of one source below ``root``:
 
 ``extracted/<table>/batch_id=<n>``  what the extractor returned for each file
 ``bronze/<table>/batch_id=<n>``     extracted documents; a replayed batch overwrites itself
-``documents/<table>/batch_id=<n>``  the same documents parsed, so that history is never parsed again
+``documents/<table>/batch_id=<n>/bucket=<b>``  the same documents parsed, so that history is never
+                                    parsed again, in buckets by invoice
 ``rejected/<table>/batch_id=<n>``   failed or empty extractions with their error
 ``silver/<table>/bucket=<b>``       merged invoice lines
 ``ledger/<table>/bucket=<b>``       state of each file
@@ -18,9 +19,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.types import IntegerType
 
 from tallyspark.operators.extract import Extractor, accepted, extract_documents, quarantined
-from tallyspark.operators.upsert import path_exists, read_table, upsert_table
+from tallyspark.operators.upsert import BUCKET, bucket_of, path_exists, read_table, touched_buckets, upsert_table
 from tallyspark.plans.silver import documents, ds1_invoice_no, silver_ds1_lines, silver_ds2_lines
 from tallyspark.schemas import BRONZE, EXTRACTED
 from tallyspark.sources.bronze import bronze_envelope
@@ -45,6 +47,8 @@ class Layout:
 
     root: str
     spec: SourceSpec
+    # Folders per table. Sized once for the whole table: a few hundred MB per folder.
+    buckets: int = 256
 
     def folder(self, kind: str) -> str:
         table = self.spec.silver_table if kind == "silver" else self.spec.bronze_table
@@ -63,7 +67,11 @@ def load_bronze_batch(bronze: DataFrame, layout: Layout, batch_id: int | str) ->
     spark = bronze.sparkSession
     bronze.write.mode("overwrite").parquet(layout.batch("bronze", batch_id))
     stored = spark.read.schema(BRONZE).parquet(layout.batch("bronze", batch_id))
-    documents(stored, layout.spec).write.mode("overwrite").parquet(layout.batch("documents", batch_id))
+    group, _ = SILVER[layout.spec.source_id]
+    parsed = documents(stored, layout.spec).withColumn(BUCKET, bucket_of(group(), buckets=layout.buckets))
+    parsed.hint("rebalance", BUCKET).write.partitionBy(BUCKET).mode("overwrite").parquet(
+        layout.batch("documents", batch_id)
+    )
     update_silver(spark, layout, batch_id)
 
 
@@ -87,18 +95,23 @@ def load_files(files: DataFrame, layout: Layout, batch_id: int | str, extractor:
 
 def note_files(files: DataFrame, layout: Layout, state: str, outcome: Column | None = None) -> None:
     rows = ledger_rows(files, layout.spec.source_id, state, F.current_timestamp(), outcome)
-    upsert_table(files.sparkSession, layout.folder("ledger"), rows.dropDuplicates(["file"]), "file", buckets=8)
+    upsert_table(files.sparkSession, layout.folder("ledger"), rows.dropDuplicates(["file"]), "file", layout.buckets)
 
 
 def update_silver(spark: SparkSession, layout: Layout, batch_id: int | str) -> None:
-    """Re-derive the invoices that the batch has documents of, from all their versions, and merge."""
+    """Re-derive the invoices that the batch has documents of, from all their versions, and merge.
+
+    Only buckets that the batch touches are read, whatever the length of the history.
+    """
     group, plan = SILVER[layout.spec.source_id]
-    batch = spark.read.parquet(layout.batch("documents", batch_id))
-    history = spark.read.schema(batch.schema).parquet(layout.folder("documents"))
+    schema = documents(spark.createDataFrame([], BRONZE), layout.spec).schema.add(BUCKET, IntegerType())
+    batch = spark.read.schema(schema).parquet(layout.batch("documents", batch_id))
+    history = spark.read.schema(schema).parquet(layout.folder("documents"))
+    history = history.filter(F.col(BUCKET).isin(touched_buckets(batch)))
     touched = batch.select(group().alias("_touched")).distinct()
-    # At most one row per file of a batch; a larger batch is joined by shuffle as Spark sees fit.
+    # No hint: a batch of some hundred files is broadcast, a first load of everything is not.
     affected = history.join(touched, group().eqNullSafe(F.col("_touched")), "left_semi")
-    upsert_table(spark, layout.folder("silver"), plan(affected), LINE_KEY)
+    upsert_table(spark, layout.folder("silver"), plan(affected.drop(BUCKET, "batch_id")), LINE_KEY, layout.buckets)
 
 
 def ingest_stream(
@@ -110,14 +123,14 @@ def ingest_stream(
     extractor: Callable[[], Extractor],
     max_files: int = MAX_FILES_PER_BATCH,
     archive: str | None = None,
+    buckets: int = 256,
 ) -> StreamingQuery:
     """Process all new files of a source and stop; the next start takes up what came since.
 
     Spark's checkpoint holds which files are done. A batch that fails is not recorded and runs
     again at the next start, under the same number and with the same files.
     """
-    layout = Layout(out_dir, spec)
-
+    layout = Layout(out_dir, spec, buckets)
     return (
         new_files(spark, in_dir, max_files, archive)
         .writeStream.foreachBatch(lambda files, batch_id: load_files(files, layout, batch_id, extractor))
@@ -127,9 +140,9 @@ def ingest_stream(
     )
 
 
-def upsert_stream(bronze: DataFrame, spec: SourceSpec, out_dir: str, checkpoint: str) -> StreamingQuery:
+def upsert_stream(bronze: DataFrame, spec: SourceSpec, out_dir: str, checkpoint: str, buckets: int = 256) -> StreamingQuery:
     """The same load for a stream of bronze rows that were extracted elsewhere."""
-    layout = Layout(out_dir, spec)
+    layout = Layout(out_dir, spec, buckets)
     return (
         bronze.writeStream.foreachBatch(lambda rows, batch_id: load_bronze_batch(rows, layout, batch_id))
         .option("checkpointLocation", checkpoint)

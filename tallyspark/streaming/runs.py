@@ -32,8 +32,12 @@ class Run:
     extractors: Mapping[int, Callable[[], Extractor]]
     database: str = GOLD_DB
     max_files: int = MAX_FILES_PER_BATCH
+    buckets: int = 256
     problems: dict[int, str] = field(default_factory=dict)
 
+    def layout(self, source_id: int) -> Layout:
+        return Layout(self.root, source_spec(source_id), self.buckets)
+
     def ingest(self) -> None:
         """Ingest each source. A failing one is noted and the next one still runs.
 
@@ -44,7 +48,7 @@ class Run:
             try:
                 query = ingest_stream(
                     self.spark, spec, self.folders[source_id], self.root,
-                    f"{self.root}/checkpoints/{spec.bucket}", self.extractors[source_id], self.max_files,
+                    f"{self.root}/checkpoints/{spec.bucket}", self.extractors[source_id], self.max_files, buckets=self.buckets,
                 )
                 query.awaitTermination()
             except Exception as failure:
@@ -75,7 +79,7 @@ class Run:
         """One row per source: files done, files to retry and what stopped it, if anything did."""
         rows = []
         for source_id in sorted(self.folders):
-            ledger = read_table(self.spark, Layout(self.root, source_spec(source_id)).folder("ledger"))
+            ledger = read_table(self.spark, self.layout(source_id).folder("ledger"))
             counted = {} if ledger is None else {
                 r["state"]: r["n"] for r in ledger.groupBy("state").agg(F.count(F.lit(1)).alias("n")).collect()
             }  # three states at most
@@ -89,7 +93,7 @@ class Run:
 
         Files are taken in portions of ``max_files``, as for new ones, until none is left.
         """
-        layout = Layout(self.root, source_spec(source_id))
+        layout = self.layout(source_id)
         ledger = read_table(self.spark, layout.folder("ledger"))
         if ledger is None:
             return 0

@@ -9,7 +9,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.functions import parse_document
+from tallyspark.functions import parse_documents
 from tallyspark.operators.extract import HtmlExtractor, accepted, extract_documents, first_page, page_payload, quarantined
 from tallyspark.schemas import GOLD_DB, TABLES
 from tallyspark.session import durable_path, staged
@@ -106,7 +106,7 @@ FROM page_fields
 """))
 def extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     extracted = extract_documents(page_files(spark, sf_dir), DS2, DS2_EXTRACTOR)
-    parsed = extracted.select("path", "error", parse_document(F.col("json"), DS2).alias("d"))
+    parsed = parse_documents(extracted, "json", DS2, "d")
     return parsed.select("path", "d.header.client", "d.header.client_address",
                          F.get("d.items", F.lit(0))["item_desc"].alias("item_desc"), "d.summary.order_id", "error")
 
@@ -149,7 +149,7 @@ def sample_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = durable_path(spark, "sample")
     extract_documents(sample_by_path(page_files(spark, sf_dir)), DS2, DS2_EXTRACTOR).write.json(path)
     dumped = spark.read.schema("path string, json string").json(path)
-    return dumped.select("path", parse_document(F.col("json"), DS2)["summary"]["order_id"].alias("order_id"))
+    return parse_documents(dumped, "json", DS2, "d").select("path", "d.summary.order_id")
 
 
 @query("bronze_envelope", with_tables(PAGES, f"""
@@ -247,7 +247,7 @@ page_lines AS (
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = durable_path(spark, "ingested")
     ingest_stream(
-        spark, DS2, folder(spark, sf_dir), out, durable_path(spark, "checkpoint"), DS2_EXTRACTOR
+        spark, DS2, folder(spark, sf_dir), out, durable_path(spark, "checkpoint"), DS2_EXTRACTOR, buckets=8
     ).awaitTermination()
     return silver_table(spark, out, DS2)
 
@@ -263,7 +263,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("inserted_at") < F.lit(cut).cast("timestamp"))
         rows.filter(between).write.mode("append").parquet(arriving)
         stream = spark.readStream.schema(rows.schema).parquet(arriving)
-        upsert_stream(stream, DS2, out, checkpoint).awaitTermination()
+        upsert_stream(stream, DS2, out, checkpoint, buckets=8).awaitTermination()
         since = cut
     return silver_table(spark, out, DS2).select(*[c.strip() for c in SILVER2_COLUMNS.split(",")])
 
@@ -273,7 +273,7 @@ def whole_run(spark: SparkSession, sf_dir: str) -> tuple[Run, DataFrame]:
     def build() -> tuple[Run, DataFrame]:
         run = Run(
             spark, durable_path(spark, "run"), {i: folder(spark, sf_dir) for i in (1, 2)},
-            {1: DS1_EXTRACTOR, 2: DS2_EXTRACTOR}, database=f"{GOLD_DB}_{uuid.uuid4().hex[:8]}",
+            {1: DS1_EXTRACTOR, 2: DS2_EXTRACTOR}, database=f"{GOLD_DB}_{uuid.uuid4().hex[:8]}", buckets=8,
         )
         return run, run_all(run, "1")
 

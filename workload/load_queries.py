@@ -11,9 +11,8 @@ from tallyspark.functions import file_name, has_document_suffix
 from tallyspark.operators import latest_per_key, unnest_items, upsert, upsert_table
 from tallyspark.operators.upsert import read_table
 from tallyspark.plans import gold as gold_plans
-from tallyspark.plans.silver import documents, included, silver_ds1_lines, silver_ds2_lines
-from tallyspark.session import durable_path, staged
-from tallyspark.sources.registry import DS1, DS2
+from tallyspark.plans import silver
+from tallyspark.session import durable_path
 from workload import fixtures as fx
 from workload.expected import (
     DS1_DOCS,
@@ -31,30 +30,24 @@ from workload.registry import query
 CUTS = ["1997-01-01", "1999-01-01", "2100-01-01"]
 
 
-def parsed(spark: SparkSession, sf_dir: str, spec) -> DataFrame:
-    """Parse bronze and keep the documents as the load does, so that each text is read once."""
-    return staged(documents(fx.bronze(spark, sf_dir, spec.source_id), spec), spec.bronze_table)
-
-
 @query("silver_ds1", with_tables(SILVER1, f"SELECT {SILVER1_COLUMNS} FROM silver1"))
 def silver_ds1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_ds1_lines(parsed(spark, sf_dir, DS1))
+    return silver.silver_ds1(fx.bronze(spark, sf_dir, 1))
 
 
 @query("silver_ds1_all_lines", with_tables(SILVER1, f"SELECT {SILVER1_COLUMNS} FROM ds1_ranked WHERE doc_rank = 1"))
 def silver_ds1_all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver_ds1_lines(parsed(spark, sf_dir, DS1), keep="all_lines")
+    return silver.silver_ds1(fx.bronze(spark, sf_dir, 1), keep="all_lines")
 
 
 @query("silver_ds2", with_tables(LINES + "," + DS2_DOCS + "," + silver2("s"), f"SELECT {SILVER2_COLUMNS} FROM s"))
 def silver_ds2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # One scan of the documents: nothing to keep.
-    return silver_ds2_lines(documents(fx.bronze(spark, sf_dir, 2), DS2))
+    return silver.silver_ds2(fx.bronze(spark, sf_dir, 2))
 
 
 @query("bronze_exclusion", with_tables(DS1_DOCS, "SELECT id FROM ds1_docs WHERE exclude_from_silver = false"))
 def bronze_exclusion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return included(fx.bronze(spark, sf_dir, 1)).select("id")
+    return silver.included(fx.bronze(spark, sf_dir, 1)).select("id")
 
 
 @query("unnest_items", """
@@ -113,7 +106,7 @@ def dedup_latest_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ds2_snapshot(spark: SparkSession, sf_dir: str, before: str) -> DataFrame:
     docs = fx.docs(spark, sf_dir, 2).filter(F.col("inserted_at") < F.lit(before).cast("timestamp"))
-    return silver_ds2_lines(docs)
+    return silver.silver_ds2_lines(docs)
 
 
 SNAPSHOTS = LINES + "," + DS2_DOCS + "".join("," + silver2(f"s{i}", cut) for i, cut in enumerate(CUTS))
