@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +31,18 @@ def build_session(app_name: str = "tallyspark", master: str | None = None, **con
     return builder.getOrCreate()
 
 
+def ship(spark: SparkSession, *packages: Path) -> None:
+    """Make Python packages importable on executors, for jobs not submitted with ``--py-files``."""
+    already = getattr(spark.sparkContext, "_tallyspark_shipped", set())
+    for package in set(packages) - already:
+        archive = Path(tempfile.mkdtemp(prefix="tallyspark-code-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for file in sorted(package.rglob("*.py")):
+                z.write(file, file.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+    spark.sparkContext._tallyspark_shipped = already | set(packages)
+
+
 def durable_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
