@@ -15,10 +15,12 @@ from tallyspark.schemas import LEDGER
 UNPROCESSED, STARTED, PROCESSED = "unprocessed", "startedprocessing", "processed"
 
 
-def ledger_rows(files: DataFrame, source_id: int, state: str, now: Column, outcome: Column | None = None) -> DataFrame:
+def ledger_rows(
+    files: DataFrame, source_id: int, state: Column, now: Column, outcome: Column | None = None
+) -> DataFrame:
     """Ledger entries moving ``files`` (column ``file``) to ``state``."""
     return files.select(
-        F.lit(source_id).alias("source_id"), "file", F.lit(state).alias("state"),
+        F.lit(source_id).alias("source_id"), "file", state.alias("state"),
         now.alias("last_modified"), (F.lit(None) if outcome is None else outcome).cast("string").alias("outcome"),
     ).select(*LEDGER.names)
 

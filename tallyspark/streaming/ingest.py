@@ -82,18 +82,20 @@ def load_files(files: DataFrame, layout: Layout, batch_id: int | str, extractor:
     A file without a result stays in processing until ``requeue_stale`` puts it back.
     """
     spark = files.sparkSession
-    note_files(with_file_name(files.select("path")), layout, STARTED)
+    note_files(with_file_name(files.select("path")), layout, F.lit(STARTED))
     extract_documents(files, layout.spec, extractor).write.mode("overwrite").parquet(
         layout.batch("extracted", batch_id)
     )
     extracted = spark.read.schema(EXTRACTED).parquet(layout.batch("extracted", batch_id))
     quarantined(extracted).write.mode("overwrite").parquet(layout.batch("rejected", batch_id))
     load_bronze_batch(bronze_envelope(accepted(extracted), layout.spec), layout, batch_id)
-    note_files(with_file_name(accepted(extracted)), layout, PROCESSED, F.lit("done"))
-    note_files(with_file_name(quarantined(extracted)), layout, STARTED, F.col("outcome"))
+    done = accepted(extracted).withColumn("outcome", F.lit("done"))
+    results = done.unionByName(quarantined(extracted))
+    state = F.when(F.col("outcome") == "done", PROCESSED).otherwise(STARTED)
+    note_files(with_file_name(results), layout, state, F.col("outcome"))
 
 
-def note_files(files: DataFrame, layout: Layout, state: str, outcome: Column | None = None) -> None:
+def note_files(files: DataFrame, layout: Layout, state: Column, outcome: Column | None = None) -> None:
     rows = ledger_rows(files, layout.spec.source_id, state, F.current_timestamp(), outcome)
     upsert_table(files.sparkSession, layout.folder("ledger"), rows.dropDuplicates(["file"]), "file", layout.buckets)
 
@@ -108,9 +110,12 @@ def update_silver(spark: SparkSession, layout: Layout, batch_id: int | str) -> N
     batch = spark.read.schema(schema).parquet(layout.batch("documents", batch_id))
     history = spark.read.schema(schema).parquet(layout.folder("documents"))
     history = history.filter(F.col(BUCKET).isin(touched_buckets(batch)))
-    touched = batch.select(group().alias("_touched")).distinct()
-    # No hint: a batch of some hundred files is broadcast, a first load of everything is not.
-    affected = history.join(touched, group().eqNullSafe(F.col("_touched")), "left_semi")
+    touched = batch.select(F.col(BUCKET).alias("_bucket"), group().alias("_touched")).distinct()
+    # No hint: a batch of some hundred files is broadcast, a first load of everything is not. With
+    # the bucket among its keys, a shuffled join cannot pass for the silver plan's own
+    # partitioning, which must come after that plan's reduction per task.
+    same_invoice = [F.col(BUCKET) == F.col("_bucket"), group().eqNullSafe(F.col("_touched"))]
+    affected = history.join(touched, same_invoice, "left_semi")
     upsert_table(spark, layout.folder("silver"), plan(affected.drop(BUCKET, "batch_id")), LINE_KEY, layout.buckets)
 
 

@@ -66,7 +66,7 @@ def test_requeue_stale(spark):
 
 def test_ledger_moves(spark):
     files = spark.createDataFrame([("a.pdf",), ("b.pdf",)], "file string")
-    start = ledger.move(None, ledger.ledger_rows(files, 1, ledger.STARTED, F.lit(NOW)))
-    end = ledger.move(start, ledger.ledger_rows(files.limit(1), 1, ledger.PROCESSED, F.lit(NOW), F.lit("done")))
+    start = ledger.move(None, ledger.ledger_rows(files, 1, F.lit(ledger.STARTED), F.lit(NOW)))
+    end = ledger.move(start, ledger.ledger_rows(files.limit(1), 1, F.lit(ledger.PROCESSED), F.lit(NOW), F.lit("done")))
     assert sorted((r.file, r.state, r.outcome) for r in end.collect()) == [
         ("a.pdf", "processed", "done"), ("b.pdf", "startedprocessing", None)]

@@ -41,7 +41,7 @@ DS2_LABELS = {
 DS1_EXTRACTOR = partial(HtmlExtractor, DS1_LABELS)
 DS2_EXTRACTOR = partial(HtmlExtractor, DS2_LABELS)
 
-MODIFIED = "2024-01-01 00:00:00"
+MODIFIED = "2024-01-01T00:00:00Z"
 
 PAGES = f"""
 page_fields AS (
@@ -152,8 +152,8 @@ def sample_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_documents(dumped, "json", DS2, "d").select("path", "d.summary.order_id")
 
 
-@query("bronze_envelope", with_tables(PAGES, f"""
-SELECT sha256('2|' || url || '|' || CAST(epoch_us(TIMESTAMP '{MODIFIED}') AS VARCHAR)) AS id, false AS exclude_from_silver,
+@query("bronze_envelope", with_tables(PAGES, """
+SELECT sha256('2|' || url || '|' || CAST(epoch_us(TIMESTAMP '2024-01-01 00:00:00') AS VARCHAR)) AS id, false AS exclude_from_silver,
   regexp_extract(url, '([^/]*)$', 1) AS "file_name_in_R2"
 FROM page_fields WHERE complete
 """))
@@ -174,7 +174,7 @@ def source_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def first_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = fx.table(spark, sf_dir, "orders").select(F.concat("o_orderkey", F.lit(".pdf")).alias("file"), "o_orderdate")
-    return ledger.ledger_rows(files, 1, ledger.UNPROCESSED, F.col("o_orderdate").cast("timestamp"))
+    return ledger.ledger_rows(files, 1, F.lit(ledger.UNPROCESSED), F.col("o_orderdate").cast("timestamp"))
 
 
 @query("file_ledger", """
@@ -187,8 +187,8 @@ FROM orders
 def file_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = fx.table(spark, sf_dir, "orders").withColumn("file", F.concat("o_orderkey", F.lit(".pdf")))
     now = F.lit(MODIFIED).cast("timestamp")
-    started = ledger.ledger_rows(orders.filter(F.col("o_orderstatus").isin("F", "O")), 1, ledger.STARTED, now)
-    done = ledger.ledger_rows(orders.filter("o_orderstatus = 'F'"), 1, ledger.PROCESSED, now, F.lit("done"))
+    started = ledger.ledger_rows(orders.filter(F.col("o_orderstatus").isin("F", "O")), 1, F.lit(ledger.STARTED), now)
+    done = ledger.ledger_rows(orders.filter("o_orderstatus = 'F'"), 1, F.lit(ledger.PROCESSED), now, F.lit("done"))
     moved = ledger.move(ledger.move(first_ledger(spark, sf_dir), started), done)
     return moved.select("file", "state", "outcome", F.col("last_modified").cast("date").cast("string").alias("day"))
 

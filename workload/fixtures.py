@@ -71,23 +71,30 @@ def ds1_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_extendedprice").cast("string").alias("item_net_price"),
         F.col("l_tax").cast("string").alias("item_vat"),
     )
+    part = F.when(F.col("n") <= LINES_PER_DOCUMENT, 0).otherwise(F.pmod(number, parts))
+    # Grouped by the document's name, not by the join column: Spark then shuffles between the two
+    # and AQE may split an order that holds very many lines.
     grouped = (
         li.join(per_order.select("l_orderkey", "n"), "l_orderkey")
-        .withColumn("part", F.when(F.col("n") <= LINES_PER_DOCUMENT, 0).otherwise(F.pmod(number, parts)))
-        .groupBy("l_orderkey", "part").agg(F.sort_array(F.collect_list(item)).alias("items"))
+        .groupBy(F.concat("l_orderkey", F.lit("-p"), part).alias("document"))
+        .agg(F.min("l_orderkey").alias("l_orderkey"), F.min(part).alias("part"),
+             F.sort_array(F.collect_list(item)).alias("items"))
     )
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     key = F.col("o_orderkey")
-    full = (
+    headed = (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
         .join(per_order.select(F.col("l_orderkey").alias("k"), "suppkey"), key == F.col("k"), "left")
         .join(supplier, F.col("suppkey") == F.col("s_suppkey"), "left")
-        .join(grouped, key == F.col("l_orderkey"), "left")
-        .withColumn("part", F.coalesce("part", F.lit(0)))
-        .withColumn("ver", F.explode(F.when(key % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
     )
+    empty = headed.filter(F.col("k").isNull()).select(
+        "*", F.lit(0).cast("bigint").alias("part"), F.array().cast(grouped.schema["items"].dataType).alias("items"))
+    filled = headed.join(grouped, key == F.col("l_orderkey")).select(
+        *headed.columns, F.col("part").cast("bigint").alias("part"), "items")
+    full = filled.unionByName(empty).withColumn(
+        "ver", F.explode(F.when(key % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
     day = F.col("o_orderdate")
     header = F.struct(
         F.when(key % 97 != 0, key.cast("string")).alias("invoice_no"),
@@ -98,7 +105,7 @@ def ds1_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("IB"), "o_custkey", F.lit("v"), "ver").alias("iban"),
     )
     items = F.transform(
-        F.coalesce("items", F.array()),
+        "items",
         lambda i: F.struct(i["item_desc"].alias("item_desc"), i["item_qty"].alias("item_qty"),
                            i["item_net_price"].alias("item_net_price"), i["item_vat"].alias("item_vat")),
     )
