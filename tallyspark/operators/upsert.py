@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 BUCKET = "bucket"
 
@@ -42,9 +43,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """Rows of a table kept by ``upsert_table``, without its layout column."""
-    return spark.read.parquet(path).drop(BUCKET) if path_exists(spark, path) else None
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
+    """Rows of a table kept by ``upsert_table``, without its layout column.
+
+    The schema is given, as a table may have been created by a batch without rows.
+    """
+    return spark.read.schema(schema).parquet(path).select(*schema.names) if path_exists(spark, path) else None
 
 
 def bucket_of(*keys: Column, buckets: int) -> Column:

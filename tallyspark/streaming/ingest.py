@@ -19,12 +19,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
-from pyspark.sql.types import IntegerType
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tallyspark.operators.extract import Extractor, accepted, extract_documents, quarantined
 from tallyspark.operators.upsert import BUCKET, bucket_of, path_exists, read_table, touched_buckets, upsert_table
 from tallyspark.plans.silver import documents, ds1_invoice_no, silver_ds1_lines, silver_ds2_lines
-from tallyspark.schemas import BRONZE, EXTRACTED
+from tallyspark.schemas import BRONZE, EXTRACTED, LEDGER, SILVER_DB, TABLES
 from tallyspark.sources.bronze import bronze_envelope
 from tallyspark.sources.files import MAX_FILES_PER_BATCH, new_files, with_file_name
 from tallyspark.sources.ledger import PROCESSED, STARTED, ledger_rows
@@ -157,9 +157,14 @@ def upsert_stream(bronze: DataFrame, spec: SourceSpec, out_dir: str, checkpoint:
 
 
 def silver_table(spark: SparkSession, root: str, spec: SourceSpec) -> DataFrame | None:
-    return read_table(spark, Layout(root, spec).folder("silver"))
+    return read_table(spark, Layout(root, spec).folder("silver"), TABLES[f"{SILVER_DB}.{spec.silver_table}"])
+
+
+def file_states(spark: SparkSession, root: str, spec: SourceSpec) -> DataFrame | None:
+    return read_table(spark, Layout(root, spec).folder("ledger"), LEDGER)
 
 
 def rejected_files(spark: SparkSession, root: str, spec: SourceSpec) -> DataFrame | None:
     folder = Layout(root, spec).folder("rejected")
-    return spark.read.parquet(folder).drop("batch_id") if path_exists(spark, folder) else None
+    schema = StructType([*EXTRACTED.fields, StructField("outcome", StringType())])
+    return spark.read.schema(schema).parquet(folder).drop("batch_id") if path_exists(spark, folder) else None

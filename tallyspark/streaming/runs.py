@@ -10,14 +10,13 @@ from pyspark.sql import functions as F
 
 from tallyspark.operators.extract import Extractor
 from tallyspark.operators.quality import gate
-from tallyspark.operators.upsert import read_table
 from tallyspark.plans.gold import star
 from tallyspark.schemas import GOLD_DB, SILVER_DB
 from tallyspark.sources.ddl import create_schema, publish_table
 from tallyspark.sources.files import MAX_FILES_PER_BATCH, read_files
 from tallyspark.sources.ledger import PROCESSED, STARTED, UNPROCESSED, requeue_stale
 from tallyspark.sources.registry import SOURCES, source_spec
-from tallyspark.streaming.ingest import Layout, ingest_stream, load_files, silver_table
+from tallyspark.streaming.ingest import Layout, file_states, ingest_stream, load_files, silver_table
 
 OUTCOMES = "source_id int, status string, processed bigint, rejected bigint, problem string"
 
@@ -61,6 +60,8 @@ class Run:
     def publish(self, version: str) -> DataFrame:
         """Rebuild the star from silver, test both and let readers see it only if all tests pass."""
         silver = self.silver()
+        if not silver:
+            raise RuntimeError("no source has been ingested yet")
         versions = {}
         for name, df in star(silver).items():
             path = f"{self.root}/gold/{name}/version={version}"
@@ -79,7 +80,7 @@ class Run:
         """One row per source: files done, files to retry and what stopped it, if anything did."""
         rows = []
         for source_id in sorted(self.folders):
-            ledger = read_table(self.spark, self.layout(source_id).folder("ledger"))
+            ledger = file_states(self.spark, self.root, source_spec(source_id))
             counted = {} if ledger is None else {
                 r["state"]: r["n"] for r in ledger.groupBy("state").agg(F.count(F.lit(1)).alias("n")).collect()
             }  # three states at most
@@ -94,7 +95,7 @@ class Run:
         Files are taken in portions of ``max_files``, as for new ones, until none is left.
         """
         layout = self.layout(source_id)
-        ledger = read_table(self.spark, layout.folder("ledger"))
+        ledger = file_states(self.spark, self.root, layout.spec)
         if ledger is None:
             return 0
         due = requeue_stale(ledger, now).filter(F.col("state") == UNPROCESSED).select("file")

@@ -8,9 +8,11 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallyspark.operators import latest_per_key
+from tallyspark.operators import DuplicateKeyError, latest_per_key, upsert_table
+from tallyspark.operators.quality import unique
+from tallyspark.operators.upsert import read_table
 from tallyspark.plans.silver import documents, ds1_invoice_no, silver_ds1, silver_ds1_lines, silver_ds2
-from tallyspark.schemas import BRONZE
+from tallyspark.schemas import BRONZE, SILVER_DS2
 from tallyspark.sources.registry import DS1, DS2
 
 T0 = dt.datetime(2024, 1, 1)
@@ -24,6 +26,10 @@ def bronze(spark, documents, seed):
     return spark.createDataFrame(rows, BRONZE)
 
 
+def bronze_of(documents, spark):
+    return spark.createDataFrame([(f"id{i}", json.dumps(d), T0, False, "f") for i, d in enumerate(documents)], BRONZE)
+
+
 def ds1_documents(seed, n=300):
     rng = random.Random(seed)
     docs = []
@@ -97,6 +103,19 @@ def test_ds2_equals_literal_windows(spark, seed):
     assert {r.item_rate for r in got} <= {None, 1000.5} and {r.item_qty for r in got} <= {None, 2}
 
 
+def test_two_clients_on_one_order_conflict(spark, tmp_path):
+    """The line key leaves out the client: both lines enter a new table, a later merge refuses them."""
+    rows = bronze_of([{"header": {"client": c}, "items": [{"item_desc": "pen", "item_qty": "1"}],
+                       "summary": {"order_id": "O"}} for c in "AB"], spark)
+    lines = silver_ds2(rows)
+    assert [r.n_records for r in unique(lines, "unique_invoice_line_no").collect()] == [2]
+    path = str(tmp_path / "lines")
+    upsert_table(spark, path, lines, "unique_invoice_line_no", buckets=4)
+    assert read_table(spark, path, SILVER_DS2).count() == 2
+    with pytest.raises(DuplicateKeyError):
+        upsert_table(spark, path, lines, "unique_invoice_line_no", buckets=4)
+
+
 def test_latest_with_ties(spark):
     rows = spark.createDataFrame([(1, 5, "a"), (1, 5, "b"), (1, 4, "c"), (None, None, "d"), (None, None, "e")],
                                  "k int, v int, t string")

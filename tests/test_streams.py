@@ -74,6 +74,24 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
     assert lines(spark, out) == [("O1", "pen", 9, 1000.5), ("O2", "ink", 2, 1000.5), ("O2", "pen", 2, 1000.5)]
 
 
+def test_first_batch_without_any_result(spark, tmp_path):
+    put(tmp_path / "in", "1.pdf", invoice("O1", fail=True))
+    run = Run(spark, str(tmp_path / "root"), {2: str(tmp_path / "in")}, {2: LabelReader},
+              database=f"gold_{uuid.uuid4().hex[:8]}", buckets=4)
+    assert [tuple(r) for r in run_all(run, "1").collect()] == [(2, "done", 0, 1, None)]
+    assert lines(spark, tmp_path / "root") == [] and spark.table(f"{run.database}.fact_invoice_line").count() == 0
+
+
+def test_consumed_files_are_archived(spark, tmp_path):
+    inbox = tmp_path / "in"
+    for i in range(3):  # Spark moves files away while it plans a later batch
+        put(inbox, f"{i}.pdf", invoice(f"O{i}"))
+        ingest_stream(spark, DS2, str(inbox), str(tmp_path / "out"), str(tmp_path / "cp"), LabelReader,
+                      archive=str(tmp_path / "archive"), buckets=4).awaitTermination()
+    assert len(lines(spark, tmp_path / "out")) == 3
+    assert {p.name for p in (tmp_path / "archive").rglob("*.pdf")} >= {"0.pdf"}
+
+
 def test_run_reports_retries_and_publishes_only_tested_tables(spark, tmp_path):
     inbox, marker = tmp_path / "in", tmp_path / "broken"
     marker.touch()

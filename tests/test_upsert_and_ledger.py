@@ -5,10 +5,11 @@ from pyspark.sql import functions as F
 
 from tallyspark.operators import DuplicateKeyError, upsert, upsert_table
 from tallyspark.operators.upsert import read_table
-from tallyspark.schemas import LEDGER
+from tallyspark.schemas import LEDGER, columns
 from tallyspark.sources import ledger
 
 SCHEMA = "k string, v int"
+TABLE = columns(SCHEMA)
 
 
 def rows(df):
@@ -33,14 +34,14 @@ def test_repeated_source_keys(spark):
 
 def test_upsert_table_rewrites_touched_buckets_only(spark, tmp_path):
     path = str(tmp_path / "t")
-    assert read_table(spark, path) is None
+    assert read_table(spark, path, TABLE) is None
     upsert_table(spark, path, spark.range(200).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v")), "k", 16)
     before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").glob("bucket=*/*.parquet")}
     assert len({p.parent for p in before}) == 16
     batch = spark.createDataFrame([("7", 2), ("new", 3)], SCHEMA)
     for _ in range(2):  # the second time changes nothing
         upsert_table(spark, path, batch, "k", 16)
-        table = read_table(spark, path)
+        table = read_table(spark, path, TABLE)
         assert table.columns == ["k", "v"] and table.count() == 201
         assert rows(table.filter("v > 1")) == [("7", 2), ("new", 3)]
     kept = {p for p in (tmp_path / "t").glob("bucket=*/*.parquet") if before.get(p) == p.stat().st_mtime_ns}

@@ -120,8 +120,8 @@ def ds1_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ds2_bronze(spark: SparkSession, sf_dir: str, two_clients: bool = False) -> DataFrame:
-    """One document per line. ``two_clients`` puts a second client on some orders."""
+def ds2_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per line."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     customer = table(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left")
@@ -130,12 +130,9 @@ def ds2_bronze(spark: SparkSession, sf_dir: str, two_clients: bool = False) -> D
         .join(customer.select("c_custkey", "c_name", "n_name"), F.col("o_custkey") == F.col("c_custkey"), "left")
     )
     key, day = F.col("l_orderkey"), F.col("l_shipdate")
-    client = F.col("c_name")
-    if two_clients:
-        client = F.when((key % 41 == 0) & (F.col("l_linenumber") % 2 == 0), "Alternate Client").otherwise(client)
     header = F.struct(
         F.when(key % 50 == 0, F.date_format(day, "MMM dd yyyy")).otherwise(iso(day)).alias("invoice_date"),
-        client.alias("client"), F.col("n_name").alias("client_address"),
+        F.col("c_name").alias("client"), F.col("n_name").alias("client_address"),
     )
     qty = F.col("l_quantity").cast("bigint").cast("string")
     item = F.struct(

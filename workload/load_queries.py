@@ -12,6 +12,7 @@ from tallyspark.operators import latest_per_key, unnest_items, upsert, upsert_ta
 from tallyspark.operators.upsert import read_table
 from tallyspark.plans import gold as gold_plans
 from tallyspark.plans import silver
+from tallyspark.schemas import SILVER_DS2
 from tallyspark.session import durable_path
 from workload import fixtures as fx
 from workload.expected import (
@@ -135,7 +136,7 @@ def silver_upsert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = durable_path(spark, "silver-ds2")
     for cut in CUTS:
         upsert_table(spark, path, ds2_snapshot(spark, sf_dir, cut), "unique_invoice_line_no", buckets=8)
-    return read_table(spark, path)
+    return read_table(spark, path, SILVER_DS2)
 
 
 @query("gold_dim_buyer", with_tables(GOLD, "SELECT * FROM dim_buyer"))
