@@ -158,8 +158,14 @@ def ds2_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze(spark: SparkSession, sf_dir: str, source_id: int) -> DataFrame:
+    """Bronze as a table of many files, however few the test tables come in."""
     build = {1: ds1_bronze, 2: ds2_bronze}[source_id]
-    return once(spark, sf_dir, f"bronze{source_id}", lambda: staged(build(spark, sf_dir), f"bronze-{source_id}"))
+
+    def stored() -> DataFrame:
+        rows = build(spark, sf_dir).repartition(spark.sparkContext.defaultParallelism, "id")
+        return staged(rows, f"bronze-{source_id}")
+
+    return once(spark, sf_dir, f"bronze{source_id}", stored)
 
 
 def docs(spark: SparkSession, sf_dir: str, source_id: int) -> DataFrame:
