@@ -17,7 +17,7 @@ from tallyspark.sources import ddl, ledger
 from tallyspark.sources.bronze import bronze_envelope
 from tallyspark.sources.export import sample_by_path
 from tallyspark.sources.files import new_files, with_file_name
-from tallyspark.sources.registry import DS1, DS2, route
+from tallyspark.sources.registry import DS2, route
 from tallyspark.streaming.ingest import ingest_stream, silver_table, upsert_stream
 from tallyspark.streaming.runs import Run, run_all
 from workload import fixtures as fx

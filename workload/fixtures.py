@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tallyspark.plans.gold import star
 from tallyspark.plans.silver import documents, silver_ds1_lines, silver_ds2_lines
 from tallyspark.session import staged
-from tallyspark.sources.registry import DS1, DS2, SOURCES
+from tallyspark.sources.registry import SOURCES
 
 LINES_PER_DOCUMENT = 64
 
@@ -186,5 +186,3 @@ def gold(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         name: staged(df, name) for name, df in star(silver(spark, sf_dir)).items()
     })
 
-
-__all__ = ["DS1", "DS2", "bronze", "docs", "ds1_bronze", "ds2_bronze", "gold", "lines", "once", "silver", "table"]
