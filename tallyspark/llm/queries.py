@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import exact_dedup, html_text, packing, secrets, token_counts
+from tallyspark.llm import exact_dedup, html_text, packing, secrets, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,6 +52,12 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op7_exact_dedup"] = exact_dedup.ORACLE
 
 
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
