@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import exact_dedup, html_text, near_dedup, packing, secrets, token_counts, toxicity
+from tallyspark.llm import decontaminate, exact_dedup, html_text, near_dedup, packing, secrets, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,3 +66,11 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+@query
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op5_decontamination"] = decontaminate.ORACLE
