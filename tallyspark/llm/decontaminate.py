@@ -50,7 +50,8 @@ def corpus_shingles(docs: DataFrame, tokens: DataFrame, sizes: list[int]) -> Dat
     cut = docs.select("doc_id", name.alias("doc"), words(F.col("text")).alias("words"))
     parts = [f"transform({_heads(s)}, (h, p) -> named_struct('size', {s}, 'position', p, 'head', h))" for s in sizes]
     itself = "array(named_struct('size', 0, 'position', 0, 'head', 0L))"
-    rows = cut.select("doc_id", "doc", F.expr("size(words)").alias("n_words"), F.explode(F.expr(f"concat({', '.join([itself, *parts])})")).alias("s"))
+    # The outer form: for the inner one Spark infers a filter on the array, which would cut the words again for each of them.
+    rows = cut.select("doc_id", "doc", F.expr("size(words)").alias("n_words"), F.explode_outer(F.expr(f"concat({', '.join([itself, *parts])})")).alias("s"))
     spread = rows.select("doc_id", "doc", "n_words", "s.size", "s.position", "s.head")
     return spread.join(tokens.union(tokens.sparkSession.sql("SELECT 0 AS size, 0L AS head")), ["size", "head"])
 
