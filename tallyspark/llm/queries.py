@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import decontaminate, exact_dedup, html_text, near_dedup, packing, secrets, token_counts, toxicity
+from tallyspark.llm import decontaminate, exact_dedup, html_text, line_dedup, near_dedup, packing, secrets, token_counts, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,3 +74,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op5_decontamination"] = decontaminate.ORACLE
+
+
+@query
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op3_line_dedup"] = line_dedup.ORACLE
