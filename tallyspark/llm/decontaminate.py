@@ -27,6 +27,11 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
 
 
+def _name() -> Column:
+    """A digest of doc_id and text."""
+    return F.unhex(F.md5(F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("?")), F.coalesce("text", F.lit("")))))
+
+
 def _heads(size: int) -> str:
     """SQL of the digests of all shingles of ``size`` in ``words``."""
     run = ", ".join(f"words[i + {k}]" for k in range(size))
@@ -46,8 +51,7 @@ def corpus_shingles(docs: DataFrame, tokens: DataFrame, sizes: list[int]) -> Dat
 
     Each document also has one row of size 0, which stands for itself. ``doc`` is a digest of doc_id and text.
     """
-    name = F.unhex(F.md5(F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("?")), F.coalesce("text", F.lit("")))))
-    cut = docs.select("doc_id", name.alias("doc"), words(F.col("text")).alias("words"))
+    cut = docs.select("doc_id", _name().alias("doc"), words(F.col("text")).alias("words"))
     parts = [f"transform({_heads(s)}, (h, p) -> named_struct('size', {s}, 'position', p, 'head', h))" for s in sizes]
     itself = "array(named_struct('size', 0, 'position', 0, 'head', 0L))"
     # The outer form: for the inner one Spark infers a filter on the array, which would cut the words again for each of them.
@@ -107,6 +111,14 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
         F.sha2(F.array_join(items_, ","), 256).alias("items_sha256"), (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"))
 
 
+def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, without an occurrence of a window of any item (see :func:`contamination`)."""
+    _, verified, _ = occurrences(docs, items)
+    hit = staged(verified.select("doc").distinct(), "contaminated")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), _name().alias("doc"))
+    return rows.join(hit, "doc", "left_anti").select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
+
+
 ORACLE = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id,
                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),

@@ -21,8 +21,8 @@ from tallyspark.llm import bpe
 WINDOW, STRIDE = 64, 48  # words
 HIDDEN, EMBED, ROWS = 8, 12, 1 << 14
 CHARACTERS = (3, 4, 5)
-TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1500, 2500, 20_000  # bound of the labelled sample: rows of each class, longest text
-EPOCHS, STEPS, BATCH, RATE = 9, 600, 64, 0.01  # small samples are read more often, until so many steps are made
+TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1500, 2500, 12_000  # bound of the labelled sample: rows of each class, longest text
+EPOCHS, STEPS, BATCH, RATE = 9, 300, 64, 0.01  # small samples are read more often, until so many steps are made
 THRESHOLD = 0.3
 LINES = 1024  # windows scored at once
 BYTES = 1 << 20  # text prepared at once
