@@ -19,20 +19,19 @@ from tallyspark.functions import (
 from tallyspark.functions.dates import MONTHS
 
 
-def semantic_model(fact: DataFrame, buyer: DataFrame, vendor: DataFrame) -> DataFrame:
-    """The five columns the dashboard filters and sums.
+def semantic_model(fact: DataFrame, buyer: DataFrame | None = None, vendor: DataFrame | None = None) -> DataFrame:
+    """The five columns the dashboard filters and sums, without the names of a dimension that is left out.
 
-    Dimensions may be too large to broadcast, so no hint is given: Spark compares their size with
-    its broadcast limit, and AQE splits a buyer or vendor that holds most lines.
+    A dataset that neither shows nor filters by a dimension gives the same result without it, for
+    its keys are unique. Dimensions may be too large to broadcast, so no hint is given: Spark compares
+    their size with its broadcast limit, and AQE splits a buyer or vendor that holds most lines.
     """
-    buyers = buyer.select("buyer_no_id", "buyer_desc")
-    vendors = vendor.select("vendor_no_id", "vendor_desc")
-    return (
-        fact.select("invoice_date", "spend", "item_qty", "buyer_no_id", "vendor_no_id")
-        .join(buyers, "buyer_no_id", "left")
-        .join(vendors, "vendor_no_id", "left")
-        .select("invoice_date", "spend", "item_qty", "buyer_desc", "vendor_desc")
-    )
+    lines, names = fact.select("invoice_date", "spend", "item_qty", "buyer_no_id", "vendor_no_id"), []
+    for name, dimension in (("buyer", buyer), ("vendor", vendor)):
+        if dimension is not None:
+            lines = lines.join(dimension.select(f"{name}_no_id", f"{name}_desc"), f"{name}_no_id", "left")
+            names.append(f"{name}_desc")
+    return lines.select("invoice_date", "spend", "item_qty", *names)
 
 
 def semantic_filter(
@@ -103,9 +102,10 @@ def spend_share(df: DataFrame, by: str) -> DataFrame:
 
 def frequent_items(fact: DataFrame) -> DataFrame:
     """Normalised descriptions that occur on more than one line, sorted."""
+    raw = fact.groupBy("item_desc").agg(F.count(F.lit(1)).alias("n"))  # each spelling is normalised once
     return (
-        fact.groupBy(normalise_text(F.col("item_desc")).alias("cleaned_desc"))
-        .agg(F.count(F.lit(1)).alias("n"))
+        raw.groupBy(normalise_text(F.col("item_desc")).alias("cleaned_desc"))
+        .agg(F.sum("n").alias("n"))
         .filter("n > 1")
         .select("cleaned_desc")
         .orderBy("cleaned_desc")
@@ -114,9 +114,9 @@ def frequent_items(fact: DataFrame) -> DataFrame:
 
 def item_evolution(fact: DataFrame, item: str) -> DataFrame:
     """Quantity and spend of one normalised item by date; a date with only NULLs stays NULL."""
-    chosen = fact.filter(normalise_text(F.col("item_desc")) == F.lit(item))
+    spellings = fact.select("item_desc").distinct().filter(normalise_text(F.col("item_desc")) == F.lit(item))
     return (
-        chosen.groupBy("invoice_date")
+        fact.join(spellings, "item_desc", "left_semi").groupBy("invoice_date")
         .agg(F.sum("item_qty").alias("total_qty"), F.sum("spend").alias("total_spend"))
         .orderBy("invoice_date")
     )
@@ -151,9 +151,11 @@ def heatmap_pivot(df: DataFrame, drop_empty: bool = False) -> DataFrame:
     return table.na.fill(0).orderBy("weekday_num")
 
 
-def filter_options(df: DataFrame, column: str) -> DataFrame:
-    """Distinct values of a pick-list, NULL first."""
-    return df.select(column).distinct().orderBy(column)
+def filter_options(fact: DataFrame, dimension: DataFrame, name: str) -> DataFrame:
+    """Distinct names of the buyers or vendors on lines, NULL first. Keys are made distinct before they meet names."""
+    keys = fact.select(f"{name}_no_id").distinct()
+    names = dimension.select(f"{name}_no_id", f"{name}_desc")
+    return keys.join(names, f"{name}_no_id", "left").select(f"{name}_desc").distinct().orderBy(f"{name}_desc")
 
 
 def date_bounds(df: DataFrame) -> DataFrame:

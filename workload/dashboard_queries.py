@@ -23,8 +23,15 @@ def model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.semantic_model(gold["fact_invoice_line"], gold["dim_buyer"], gold["dim_vendor"])
 
 
-def dated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.semantic_filter(model(spark, sf_dir), dates=DATES)
+def slim(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    """The model with the named dimensions only."""
+    gold = fx.gold(spark, sf_dir)
+    return analytics.semantic_model(gold["fact_invoice_line"], **{n: gold[f"dim_{n}"] for n in names})
+
+
+def dated(spark: SparkSession, sf_dir: str, *names: str) -> DataFrame:
+    """What the dashboard shows first: from the first date to the last, which leaves out lines without one."""
+    return slim(spark, sf_dir, *names).filter(F.col("invoice_date").isNotNull())
 
 
 def fact(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,7 +49,8 @@ def semantic_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("semantic_filter", with_tables(
-    MODEL, "SELECT * FROM dated WHERE vendor_desc IN ('Customer#000000001', 'SuperStore')"))
+    MODEL, "SELECT * FROM model WHERE invoice_date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31' "
+           "AND vendor_desc IN ('Customer#000000001', 'SuperStore')"))
 def semantic_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.semantic_filter(model(spark, sf_dir), vendors=VENDORS, dates=DATES)
 
@@ -75,7 +83,7 @@ SELECT vendor_desc, buyer_desc, CASE grouping(vendor_desc, buyer_desc) WHEN 0 TH
   round(coalesce(sum(spend), 0), 2) AS spend FROM dated GROUP BY ROLLUP (vendor_desc, buyer_desc)
 """))
 def spend_treemap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cents(analytics.spend_treemap(dated(spark, sf_dir)), "spend")
+    return cents(analytics.spend_treemap(dated(spark, sf_dir, "buyer", "vendor")), "spend")
 
 
 def share_sql(name: str) -> str:
@@ -88,12 +96,12 @@ FROM dated GROUP BY 1
 
 @query("spend_share_vendor", share_sql("vendor_desc"))
 def spend_share_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cents(cents(analytics.spend_share(dated(spark, sf_dir), "vendor_desc"), "spend"), "share", places=6)
+    return cents(cents(analytics.spend_share(dated(spark, sf_dir, "vendor"), "vendor_desc"), "spend"), "share", places=6)
 
 
 @query("spend_share_buyer", share_sql("buyer_desc"))
 def spend_share_buyer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cents(cents(analytics.spend_share(dated(spark, sf_dir), "buyer_desc"), "spend"), "share", places=6)
+    return cents(cents(analytics.spend_share(dated(spark, sf_dir, "buyer"), "buyer_desc"), "spend"), "share", places=6)
 
 
 NORMALISED = "regexp_replace(trim(replace(item_desc, ',', '')), '[ \\t\\n\\f\\r]+', ' ', 'g')"
@@ -120,7 +128,7 @@ SELECT strftime(invoice_date, '%b') AS month, strftime(invoice_date, '%A') AS we
 FROM model GROUP BY 1, 2, 3
 """))
 def heatmap_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.heatmap_counts(model(spark, sf_dir))
+    return analytics.heatmap_counts(slim(spark, sf_dir))
 
 
 MONTH_COLUMNS = ", ".join(
@@ -133,7 +141,7 @@ SELECT CAST(isodow(invoice_date) AS INTEGER) AS weekday_num, strftime(invoice_da
 FROM model WHERE invoice_date IS NOT NULL GROUP BY 1, 2
 """))
 def heatmap_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.heatmap_pivot(model(spark, sf_dir))
+    return analytics.heatmap_pivot(slim(spark, sf_dir))
 
 
 @query("filter_options", with_tables(MODEL, """
@@ -141,15 +149,17 @@ SELECT 'vendor' AS list, vendor_desc AS name FROM model GROUP BY 2
 UNION ALL SELECT 'buyer', buyer_desc FROM model GROUP BY 2
 """))
 def filter_options(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lists = model(spark, sf_dir)
-    vendors = analytics.filter_options(lists, "vendor_desc").select(F.lit("vendor").alias("list"), F.col("vendor_desc").alias("name"))
-    buyers = analytics.filter_options(lists, "buyer_desc").select(F.lit("buyer").alias("list"), F.col("buyer_desc").alias("name"))
-    return vendors.unionByName(buyers)
+    gold = fx.gold(spark, sf_dir)
+    lists = [
+        analytics.filter_options(gold["fact_invoice_line"], gold[f"dim_{n}"], n).select(F.lit(n).alias("list"), F.col(f"{n}_desc").alias("name"))
+        for n in ("vendor", "buyer")
+    ]
+    return lists[0].unionByName(lists[1])
 
 
 @query("date_bounds", with_tables(MODEL, "SELECT min(invoice_date) AS min_date, max(invoice_date) AS max_date FROM model"))
 def date_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return analytics.date_bounds(model(spark, sf_dir))
+    return analytics.date_bounds(slim(spark, sf_dir))
 
 
 @query("result_export", with_tables(MODEL, """

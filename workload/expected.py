@@ -16,16 +16,9 @@ lines AS (
 )"""
 
 DS1_DOCS = LINES + """,
-per_order AS (SELECT l_orderkey AS k, count(*) AS n, min(l_suppkey) AS suppkey FROM lines GROUP BY 1),
-line_parts AS (
-  SELECT lines.*, CASE WHEN n <= 64 THEN 0
-    ELSE CAST('0x' || substr(line_hash, 1, 8) AS BIGINT) % CAST(ceil(n / 64.0) AS BIGINT) END AS part
-  FROM lines JOIN per_order ON l_orderkey = k
-),
-order_parts AS (SELECT DISTINCT l_orderkey, part FROM line_parts),
+per_order AS (SELECT l_orderkey AS k, min(l_suppkey) AS suppkey FROM lines GROUP BY 1),
 ds1_docs AS (
-  SELECT 'ds1-' || o_orderkey || '-p' || coalesce(part, 0) || '-v' || ver AS id,
-    o_orderkey, coalesce(part, 0) AS part, ver,
+  SELECT 'ds1-' || o_orderkey || '-v' || ver AS id, o_orderkey, ver,
     CASE WHEN o_orderkey % 97 <> 0 THEN CAST(o_orderkey AS VARCHAR) END AS invoice_no,
     CASE WHEN o_orderkey % 50 <> 0 THEN CAST(o_orderdate AS DATE) END AS invoice_date,
     s_name AS seller, c_name AS client, CAST(suppkey AS VARCHAR) AS seller_tax_id,
@@ -35,7 +28,6 @@ ds1_docs AS (
     CASE WHEN o_orderkey % 17 = 0 THEN true WHEN o_orderkey % 19 = 0 THEN NULL ELSE false END AS exclude_from_silver
   FROM orders LEFT JOIN customer ON o_custkey = c_custkey
   LEFT JOIN per_order ON o_orderkey = k LEFT JOIN supplier ON suppkey = s_suppkey
-  LEFT JOIN order_parts ON o_orderkey = l_orderkey
   CROSS JOIN (VALUES (1), (2)) AS versions(ver)
   WHERE ver = 1 OR o_orderkey % 5 = 0
 )"""
@@ -46,7 +38,7 @@ ds1_numbered AS (
     coalesce(invoice_no, 'missingin') || '-' || coalesce(client_tax_id, 'missingcti') || '-'
       || coalesce(seller_tax_id, 'missingsti') AS unique_invoice_no,
     row_number() OVER (PARTITION BY id ORDER BY l_linenumber, line_hash) AS pos
-  FROM ds1_docs d JOIN line_parts p ON o_orderkey = p.l_orderkey AND d.part = p.part
+  FROM ds1_docs d JOIN lines p ON o_orderkey = p.l_orderkey
   WHERE exclude_from_silver = false
 ),
 ds1_ranked AS (
@@ -129,7 +121,7 @@ model AS (
   FROM fact LEFT JOIN dim_buyer b ON fact.buyer_no_id = b.buyer_no_id
   LEFT JOIN dim_vendor v ON fact.vendor_no_id = v.vendor_no_id
 ),
-dated AS (SELECT * FROM model WHERE invoice_date BETWEEN DATE '1996-01-01' AND DATE '1997-12-31')"""
+dated AS (SELECT * FROM model WHERE invoice_date IS NOT NULL)"""
 
 
 def with_tables(tables: str, select: str) -> str:

@@ -17,8 +17,6 @@ from tallyspark.plans.silver import documents, silver_ds1_lines, silver_ds2_line
 from tallyspark.session import staged
 from tallyspark.sources.registry import SOURCES
 
-LINES_PER_DOCUMENT = 64
-
 _built: dict[tuple, object] = {}
 
 
@@ -60,41 +58,26 @@ def exclusion(key: Column) -> Column:
 
 
 def ds1_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One document per order. An order of very many lines is spread over several documents."""
-    li = lines(spark, sf_dir)
-    per_order = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.min("l_suppkey").alias("suppkey"))
-    parts = F.ceil(F.col("n") / LINES_PER_DOCUMENT)
-    number = F.conv(F.substring("line_hash", 1, 8), 16, 10).cast("bigint")
+    """One document per order, with all of its lines; the seller is the supplier with the least key."""
     item = F.struct(
         "l_linenumber", "line_hash", F.col("p_name").alias("item_desc"),
         F.col("l_quantity").cast("string").alias("item_qty"),
         F.col("l_extendedprice").cast("string").alias("item_net_price"),
         F.col("l_tax").cast("string").alias("item_vat"),
     )
-    part = F.when(F.col("n") <= LINES_PER_DOCUMENT, 0).otherwise(F.pmod(number, parts))
-    # Grouped by the document's name, not by the join column: Spark then shuffles between the two
-    # and AQE may split an order that holds very many lines.
-    grouped = (
-        li.join(per_order.select("l_orderkey", "n"), "l_orderkey")
-        .groupBy(F.concat("l_orderkey", F.lit("-p"), part).alias("document"))
-        .agg(F.min("l_orderkey").alias("l_orderkey"), F.min(part).alias("part"),
-             F.sort_array(F.collect_list(item)).alias("items"))
-    )
+    per_order = lines(spark, sf_dir).groupBy(F.col("l_orderkey").alias("k")).agg(
+        F.min("l_suppkey").alias("suppkey"), F.sort_array(F.collect_list(item)).alias("items"))
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     key = F.col("o_orderkey")
-    headed = (
+    full = (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .join(per_order.select(F.col("l_orderkey").alias("k"), "suppkey"), key == F.col("k"), "left")
+        .join(per_order, key == F.col("k"), "left")
         .join(supplier, F.col("suppkey") == F.col("s_suppkey"), "left")
+        .withColumn("items", F.coalesce("items", F.array().cast(per_order.schema["items"].dataType)))
+        .withColumn("ver", F.explode(F.when(key % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
     )
-    empty = headed.filter(F.col("k").isNull()).select(
-        "*", F.lit(0).cast("bigint").alias("part"), F.array().cast(grouped.schema["items"].dataType).alias("items"))
-    filled = headed.join(grouped, key == F.col("l_orderkey")).select(
-        *headed.columns, F.col("part").cast("bigint").alias("part"), "items")
-    full = filled.unionByName(empty).withColumn(
-        "ver", F.explode(F.when(key % 5 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
     day = F.col("o_orderdate")
     header = F.struct(
         F.when(key % 97 != 0, key.cast("string")).alias("invoice_no"),
@@ -112,11 +95,11 @@ def ds1_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary = F.struct(F.col("o_totalprice").cast("string").alias("total_net_worth"), F.lit("n/a").alias("total_vat"))
     body = F.struct(header.alias("header"), items.alias("items"), summary.alias("summary"))
     return full.select(
-        F.concat(F.lit("ds1-"), "o_orderkey", F.lit("-p"), "part", F.lit("-v"), "ver").alias("id"),
+        F.concat(F.lit("ds1-"), "o_orderkey", F.lit("-v"), "ver").alias("id"),
         F.to_json(F.struct(body.alias("gt_parse"))).alias("raw_json"),
         (day + F.make_dt_interval(days=F.col("ver") - 1)).cast("timestamp").alias("inserted_at"),
         exclusion(key).alias("exclude_from_silver"),
-        F.concat("o_orderkey", F.lit("-"), "part", F.lit("-"), "ver", F.lit(".jpg")).alias("file_name_in_R2"),
+        F.concat("o_orderkey", F.lit("-"), "ver", F.lit(".jpg")).alias("file_name_in_R2"),
     )
 
 

@@ -122,12 +122,12 @@ UNION ALL SELECT {SILVER2_COLUMNS} FROM s0
 
 
 @query("silver_upsert", with_tables(SNAPSHOTS, f"""
-SELECT {SILVER2_COLUMNS} FROM s1
+SELECT {SILVER2_COLUMNS} FROM s{len(CUTS) - 1}
 UNION ALL SELECT {SILVER2_COLUMNS} FROM s0
-  WHERE unique_invoice_line_no NOT IN (SELECT unique_invoice_line_no FROM s1)
+  WHERE unique_invoice_line_no NOT IN (SELECT unique_invoice_line_no FROM s{len(CUTS) - 1})
 """))
 def silver_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first, second = (ds2_snapshot(spark, sf_dir, cut) for cut in CUTS[:2])
+    first, second = (ds2_snapshot(spark, sf_dir, cut) for cut in (CUTS[0], CUTS[-1]))
     return upsert(first, second, "unique_invoice_line_no")
 
 
