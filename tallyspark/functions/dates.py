@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 # Calendar order of the heatmap axes.
 MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
-WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
 
 def month_abbr(date: Column) -> Column:

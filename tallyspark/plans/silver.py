@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyspark.functions import (
@@ -70,23 +70,10 @@ def silver_ds1_lines(docs: DataFrame, keep: str = "one_line") -> DataFrame:
     # A document without items contributes no line and cannot be the latest one.
     docs = docs.filter(F.size("items") > 0).withColumn("unique_invoice_no", ds1_invoice_no())
     latest = latest_per_key(docs, ["unique_invoice_no"], ["-inserted_at", "id"])
-    kept = _kept(F.col("items"), keep)
-
     counted = _lines_per_gap(docs, keep)
-    marks = _marks(kept["item_desc"]).alias("marks")
-    numbered = latest.select("*", marks, F.posexplode(kept).alias("pos", "item")).join(
-        counted, "unique_invoice_no", "left"
-    )
-    text = _sort_text(F.col("item.item_desc"))
-    reached = F.array_position("marks", text)
-    smaller = F.aggregate(
-        F.coalesce("gaps", F.array()), F.lit(0).cast("bigint"),
-        lambda total, g: total + F.when(g["gap"] < reached, g["n"]).otherwise(0),
-    )
-    # The line itself and equal descriptions before it in its document.
-    twins = F.size(F.filter(F.slice("items", 1, F.col("pos") + 1), lambda i: _sort_text(i["item_desc"]) == text))
+    numbered = _one_line(latest, counted) if keep == "one_line" else _all_lines(latest, counted)
     return numbered.select(
-        F.concat("unique_invoice_no", F.lit("-"), (smaller + twins).cast("string")).alias("unique_invoice_line_no"),
+        F.concat("unique_invoice_no", F.lit("-"), F.col("number").cast("string")).alias("unique_invoice_line_no"),
         "unique_invoice_no", "client", "client_tax_id", "iban",
         safe_date(F.col("invoice_date")).alias("invoice_date"),
         "invoice_no", "seller", "seller_tax_id",
@@ -99,22 +86,42 @@ def silver_ds1_lines(docs: DataFrame, keep: str = "one_line") -> DataFrame:
     ).select(*SILVER_DS1.names)
 
 
+def _one_line(latest: DataFrame, counted: DataFrame) -> DataFrame:
+    """The first line with its number. There is one mark, so all counted lines lie before it."""
+    first = latest.withColumn("item", F.get("items", F.lit(0))).drop("items")
+    before = counted.select("unique_invoice_no", F.col("n").alias("before"))
+    return first.join(before, "unique_invoice_no", "left").withColumn("number", F.coalesce("before", F.lit(0)) + 1)
+
+
+def _all_lines(latest: DataFrame, counted: DataFrame) -> DataFrame:
+    """All lines with their numbers. A line carries its own fields and no array of its document.
+
+    The windows are over the lines of one document each.
+    """
+    lines = latest.select("*", F.posexplode("items").alias("pos", "item")).drop("items").withColumn("text", _sort_text(F.col("item.item_desc")))
+    document = Window.partitionBy("unique_invoice_no").orderBy("text", "pos")
+    equal = F.row_number().over(document) - F.rank().over(Window.partitionBy("unique_invoice_no").orderBy("text"))
+    ranked = lines.withColumns({"mark": F.dense_rank().over(Window.partitionBy("unique_invoice_no").orderBy("text")), "equal": equal})
+    # The lines in the gap below a mark are added at the first line with that description.
+    gap = F.when(F.col("equal") == 0, F.col("mark") - 1)
+    gaps = counted.select(F.col("unique_invoice_no").alias("_invoice"), "gap", "n")
+    met = ranked.withColumn("below", gap).join(gaps, (F.col("unique_invoice_no") == F.col("_invoice")) & (F.col("below") == F.col("gap")), "left")
+    smaller = F.coalesce(F.sum("n").over(document.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.lit(0))
+    return met.withColumn("number", smaller + F.col("equal") + 1)
+
+
 def _sort_text(description: Column) -> Column:
     """Text that sorts like the description with NULL lowest."""
     return F.when(description.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), description))
 
 
-def _kept(items: Column, keep: str) -> Column:
-    return F.slice(items, 1, 1) if keep == "one_line" else items
-
-
 def _marks(descriptions: Column) -> Column:
     """The distinct descriptions of an invoice's surviving lines, sorted."""
     return F.array_sort(F.array_distinct(F.transform(descriptions, _sort_text)))
 
 
 def _lines_per_gap(docs: DataFrame, keep: str) -> DataFrame:
-    """``unique_invoice_no, gaps``: how many lines of an invoice sort into each gap of its marks.
+    """``unique_invoice_no, gap, n``: how many lines of an invoice sort into each gap of its marks.
 
     A line is in gap ``g`` if ``g`` marks are not above it, so it sorts before mark ``g`` (from
     0) and all later ones. Marks come from one document, which bounds the gaps of an invoice.
@@ -123,24 +130,39 @@ def _lines_per_gap(docs: DataFrame, keep: str) -> DataFrame:
     that stands for it in the key). If a third of all lines share them, AQE splits that join: the
     counts are grouped by the invoice key and not by the join columns, so each task counts what
     it joined and only those counts are shuffled.
+
+    Many marks are cut into parts, about as many as a part has marks: a line is given the first mark of each
+    part, finds its part, and meets the marks of that part alone.
     """
     slim = docs.select(
         "unique_invoice_no", *INVOICE_COLUMNS, "inserted_at", "id", F.col("items.item_desc").alias("descriptions")
     )
+    kept = F.slice("descriptions", 1, 1) if keep == "one_line" else F.col("descriptions")
     marks = latest_per_key(slim, ["unique_invoice_no"], ["-inserted_at", "id"]).select(
-        "unique_invoice_no", *[F.col(c).alias(f"_{c}") for c in INVOICE_COLUMNS],
-        _marks(_kept(F.col("descriptions"), keep)).alias("marks"),
+        "unique_invoice_no", *[F.col(c).alias(f"_{c}") for c in INVOICE_COLUMNS], _marks(kept).alias("marks"),
     )
     lines = slim.select(*INVOICE_COLUMNS, F.explode("descriptions").alias("description")).select(
         *INVOICE_COLUMNS, _sort_text(F.col("description")).alias("text")
     )
-    joined = lines.join(marks, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in INVOICE_COLUMNS])
-    gap = F.size(F.filter("marks", lambda m: m <= F.col("text"))).alias("gap")
-    gaps = (
-        joined.filter(F.col("text") < F.element_at("marks", -1))
-        .groupBy("unique_invoice_no", gap).agg(F.count(F.lit(1)).alias("n"))
-    )
-    return gaps.groupBy("unique_invoice_no").agg(F.collect_list(F.struct("gap", "n")).alias("gaps"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in INVOICE_COLUMNS]
+    if keep == "one_line":
+        below = lines.join(marks, same).filter(F.col("text") < F.col("marks")[0])
+        return below.groupBy("unique_invoice_no", F.lit(0).alias("gap")).agg(F.count(F.lit(1)).alias("n"))
+    sized = marks.withColumn("step", F.ceil(F.sqrt(F.size("marks"))).cast("int"))
+    starts = F.sequence(F.lit(1), F.size("marks"), F.col("step"))
+    heads = sized.select(
+        "unique_invoice_no", *[f"_{c}" for c in INVOICE_COLUMNS], "step", F.element_at("marks", -1).alias("last"),
+        F.transform(starts, lambda i: F.get("marks", i - 1)).alias("heads"))
+    parts = sized.select(
+        F.col("unique_invoice_no").alias("_invoice"),
+        F.posexplode(F.transform(starts, lambda i: F.slice("marks", i, F.col("step")))).alias("number", "part"))
+    part = F.size(F.filter("heads", lambda m: m <= F.col("text"))) - 1
+    found = lines.join(heads, same).filter(F.col("text") < F.col("last")).groupBy(
+        "unique_invoice_no", "step", part.alias("at"), "text").agg(F.count(F.lit(1)).alias("n"))
+    met = found.join(parts, (F.col("unique_invoice_no") == F.col("_invoice")) & (F.col("at") == F.col("number")), "left")
+    inside = F.coalesce(F.size(F.filter("part", lambda m: m <= F.col("text"))), F.lit(0))
+    gap = F.when(F.col("at") < 0, 0).otherwise(F.col("at") * F.col("step") + inside).alias("gap")
+    return met.groupBy("unique_invoice_no", gap).agg(F.sum("n").alias("n"))
 
 
 def silver_ds2_lines(docs: DataFrame) -> DataFrame:

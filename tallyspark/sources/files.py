@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from tallyspark.functions.scalars import DOCUMENT_SUFFIXES, file_name
 from tallyspark.schemas import BINARY_FILE
 
 MAX_FILES_PER_BATCH = 500  # fixed value
+# Spark forgets, and skips, files this much older than the newest one. A copy may keep old times, so none is too old.
+MAX_FILE_AGE = "36500d"
 GLOB = "*{" + ",".join(DOCUMENT_SUFFIXES) + "}"
 
 
@@ -17,11 +21,12 @@ def new_files(spark: SparkSession, folder: str, max_files: int = MAX_FILES_PER_B
     """A stream of the files in ``folder`` that no earlier run with the same checkpoint has seen.
 
     Each micro-batch takes ``max_files`` at most. Suffixes are matched exactly, in lower case.
-    With ``archive``, consumed files are moved there while a later batch is planned.
+    Files count as new by path, however old they are. The names of files seen are kept; with ``archive``,
+    consumed files are moved there while a later batch is planned, which keeps the folder short.
     """
     reader = (
         spark.readStream.format("binaryFile").schema(BINARY_FILE)
-        .option("pathGlobFilter", GLOB).option("maxFilesPerTrigger", max_files)
+        .option("pathGlobFilter", GLOB).option("maxFilesPerTrigger", max_files).option("maxFileAge", MAX_FILE_AGE)
     )
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
@@ -29,8 +34,9 @@ def new_files(spark: SparkSession, folder: str, max_files: int = MAX_FILES_PER_B
 
 
 def read_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """A batch read, for files put back for a retry."""
-    return spark.read.format("binaryFile").option("pathGlobFilter", GLOB).load(paths)
+    """A batch read, for files put back for a retry. Names are taken as they are, also with pattern characters."""
+    paths = [paths] if isinstance(paths, str) else paths
+    return spark.read.format("binaryFile").option("pathGlobFilter", GLOB).load([re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths])
 
 
 def with_file_name(files: DataFrame) -> DataFrame:

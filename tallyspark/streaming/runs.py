@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
@@ -92,7 +93,8 @@ class Run:
     def retry_stale(self, source_id: int, now: Column, label: str) -> int:
         """Load again the files that have been in processing for over an hour; returns how many.
 
-        Files are taken in portions of ``max_files``, as for new ones, until none is left.
+        Files are taken in portions of ``max_files``, as for new ones, until none is left. A portion is named by its
+        files, so that a later call with the same label adds batches and replaces none of other files.
         """
         layout = self.layout(source_id)
         ledger = file_states(self.spark, self.root, layout.spec)
@@ -107,7 +109,8 @@ class Run:
             if not portion:
                 return done
             paths = [f"{self.folders[source_id].rstrip('/')}/{name}" for name in portion]
-            load_files(read_files(self.spark, paths), layout, f"{label}-{done}", self.extractors[source_id])
+            batch = f"{label}-{hashlib.sha256(chr(10).join(portion).encode()).hexdigest()[:16]}"
+            load_files(read_files(self.spark, paths), layout, batch, self.extractors[source_id])
             done, last = done + len(portion), portion[-1]
 
 

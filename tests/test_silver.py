@@ -157,3 +157,16 @@ def test_plans_limit_groups_before_the_shuffle(spark, tmp_path):
     plan = documents(spark.read.parquet(str(tmp_path / "bronze")), DS1)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(exclude_from_silver,false)" in plan or "Not(EqualTo(exclude_from_silver,true))" in plan
     assert "file_name_in_R2" not in plan
+
+
+def test_long_documents_keep_all_lines(spark):
+    """Hundreds of lines with equal and NULL descriptions, in two versions and a shorter one."""
+    def long(version, n):
+        rng = random.Random(version)
+        items = [{"item_desc": rng.choice([None, *(f"d{k}" for k in range(150))]), "item_qty": "1", "item_net_price": "2"} for _ in range(n)]
+        return {"gt_parse": {"header": {"invoice_no": "1", "client_tax_id": "c", "seller_tax_id": "s"}, "items": items, "summary": {}}}
+
+    docs = documents(bronze(spark, [long(v, n) for v, n in enumerate((400, 30, 350))], 1).withColumn("exclude_from_silver", F.lit(False)), DS1)
+    want, count = literal_ds1(docs, "all_lines")
+    got = [(r.unique_invoice_line_no, r.iban, r.item_desc) for r in silver_ds1_lines(docs, "all_lines").collect()]
+    assert len(got) == count == len(set(got)) and count in (400, 30, 350) and set(got) == want

@@ -157,3 +157,43 @@ def test_text_in_place_of_a_document_can_be_unwrapped(spark):
     assert kept == [json.dumps('{"a": 1}'), '"plain"']
     unwrapped = [r.raw_json for r in bronze_envelope(rows, DS2, unwrap_json_string=True).orderBy("file_name_in_R2").collect()]
     assert unwrapped == ['{"a": 1}', '"plain"']
+
+
+def test_old_late_file_is_taken(spark, tmp_path):
+    """A copy that keeps its old time, put in after newer files were taken."""
+    import os
+    import time
+
+    inbox, out = tmp_path / "in", tmp_path / "out"
+
+    def run():
+        ingest_stream(spark, DS2, str(inbox), str(out), str(tmp_path / "cp"), LabelReader, buckets=4).awaitTermination()
+
+    put(inbox, "1.pdf", invoice("O1"))
+    run()
+    put(inbox, "old [1].pdf", invoice("O2"))
+    ten_days_ago = time.time() - 10 * 86400
+    os.utime(inbox / "old [1].pdf", (ten_days_ago, ten_days_ago))
+    run()
+    assert [r[0] for r in lines(spark, out)] == ["O1", "O2"]
+
+
+def test_retries_with_one_label_keep_both_batches(spark, tmp_path):
+    inbox, marker = tmp_path / "in", tmp_path / "marker"
+    marker.touch()
+    for n in (1, 2):
+        put(inbox, f"{n} {{x}}.pdf", invoice(f"O{n}", fail=True))
+    run = Run(spark, str(tmp_path / "root"), {2: str(inbox)}, {2: partial(LabelReader, str(marker))}, max_files=1, buckets=4)
+    run.ingest()
+    now = F.current_timestamp() + F.expr("INTERVAL 2 HOURS")
+    first = F.current_timestamp() + F.expr("INTERVAL 3 HOURS")
+    marker.unlink()
+    assert run.retry_stale(2, now, "daily") == 2
+    put(inbox, "3.pdf", invoice("O3", fail=True))
+    marker.touch()
+    run.ingest()
+    marker.unlink()
+    assert run.retry_stale(2, first, "daily") == 1
+    names = [r[0] for r in spark.read.parquet(run.layout(2).folder("bronze")).select("file_name_in_R2").collect()]
+    assert sorted(names) == ["1 {x}.pdf", "2 {x}.pdf", "3.pdf"]
+    assert [r[0] for r in lines(spark, run.root)] == ["O1", "O2", "O3"]
