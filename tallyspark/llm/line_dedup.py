@@ -17,6 +17,7 @@ from tallyspark.session import staged
 
 SHINGLE, PERCENT = 5, 80
 WORD = r"[^\x20\x09-\x0D]+"
+WORDS = 1 << 18  # words of the bitmap of tokens, 4 MB
 PLACE = ("unnamed", "doc_id", "doc", "line")  # order of lines: documents by doc_id, without one last, then by line
 
 
@@ -62,13 +63,28 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return words.select("key.a", "key.b", F.expr(_tokens(size)).alias("tokens"))
 
 
-def matches(lines: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs of similar classes (a, b, a2, b2), once each, for a written table of lines."""
+def _among(rows: DataFrame, tokens: DataFrame) -> DataFrame:
+    """The rows whose token is in the table ``tokens``.
+
+    A bitmap of the tokens turns most others away before rows move. It has ``WORDS`` words at most, whatever the
+    number of tokens, so it can be broadcast; the join that follows is exact.
+    """
+    word, bit = F.pmod(F.shiftrightunsigned("token", 6), F.lit(WORDS)), F.expr("shiftleft(1L, CAST(token & 63 AS INT))")
+    bitmap = tokens.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    likely = rows.join(F.broadcast(bitmap), word == F.col("word")).where(F.col("bits").bitwiseAND(bit) != 0).select(*rows.columns)
+    return likely.join(tokens, "token", "left_semi")
+
+
+def matches(lines: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs of similar classes (a, b, a2, b2), once each, for written tables of lines and of classes (a, b, first)."""
     rows = lines.where("line >= 0 AND n > 0")
     first = rows.select("a", "b", F.explode_outer("head").alias("token"))
-    shared = staged(first.groupBy("token").agg(F.min("a").alias("low"), F.max("a").alias("high")).where("low < high").select("token"), "shared")
-    near = rows.select("a", "b", "n", *PLACE[1:], F.explode_outer("head").alias("token")).join(shared, "token", "left_semi")
-    wanted = near.groupBy("a", "b").agg(F.min(F.struct("doc", "line")).alias("where")).select("a", "b", "where.doc", "where.line")
+    # Tokens that occur twice, by counts alone, then the classes that have them, and of these tokens those of two classes.
+    twice = first.select("token").groupBy("token").count().where("count > 1").select("token")
+    near = staged(_among(first, staged(twice, "twice")).distinct(), "near")
+    shared = near.groupBy("token").agg(F.min("a").alias("low"), F.max("a").alias("high")).where("low < high").select("token")
+    matched = near.join(shared, "token", "left_semi").select("a", "b").distinct()
+    wanted = matched.join(classes.select("a", "b", "first.doc", "first.line"), ["a", "b"])
     sets = staged(_sets(docs, wanted, size).dropDuplicates(["a", "b"]), "sets").withColumn("n", F.size("tokens"))
     each = sets.select("a", "b", "n", F.explode_outer("tokens").alias("token"))
     rarity = each.groupBy("token").count()
@@ -102,7 +118,7 @@ def removals(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Da
     rows = lines.where("line >= 0 AND n > 0").withColumn("unnamed", F.col("doc_id").isNull())
     place = F.struct(*PLACE)
     classes = staged(rows.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last")), "classes")
-    pairs = staged(matches(lines, docs, size, percent), "matches")
+    pairs = staged(matches(lines, classes, docs, size, percent), "matches")
     firsts = classes.select("a", "b", "first")
     sides = pairs.join(firsts, ["a", "b"]).join(firsts.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("first").alias("first2")), ["a2", "b2"])
     later = sides.select(F.when(F.col("first") < F.col("first2"), F.struct(F.col("a2").alias("a"), F.col("b2").alias("b"))).otherwise(F.struct("a", "b")).alias("k"))
