@@ -26,7 +26,7 @@ from tallyspark.session import staged
 LENGTH = 4096
 GRAIN = 16  # tokens per length class: at most this less one is lost for each piece
 NEAR = 1.0005  # a pattern must be worth more than this many sequences to enter
-PER_RANKING = 100_000  # pieces that are ranked together
+PER_RANKING = 5_000  # pieces that are ranked together
 
 
 def cut(docs: DataFrame, vocabulary: str, end_id: int, length: int = LENGTH, with_ids: bool = False) -> DataFrame:
