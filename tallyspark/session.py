@@ -73,3 +73,9 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     path = durable_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete what this application has staged, once the results that read it are written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{durable_root(spark)}/tallyspark/{spark.sparkContext.applicationId}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
