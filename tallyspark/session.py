@@ -49,14 +49,14 @@ def durable_root(spark: SparkSession) -> str:
     Where the setting is absent a folder of our own is used, but only in local mode: a
     machine-local folder on a cluster would be lost with its machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or getattr(context, "_tallyspark_root", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    root = tempfile.mkdtemp(prefix="tallyspark-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    context._tallyspark_root = tempfile.mkdtemp(prefix="tallyspark-")  # the setting itself can't be changed any more
+    return context._tallyspark_root
 
 
 def durable_path(spark: SparkSession, name: str) -> str:
