@@ -124,11 +124,32 @@ def test_items(spark):
         (dt.date(2023, 1, 1), None, None), (DAY, 1, 1.0)]
 
 
+def named(spark, rows):
+    """Lines with keys, and the dimension of each name."""
+    fact = model(spark, rows).withColumns({"buyer_no_id": F.col("buyer_desc"), "vendor_no_id": F.col("vendor_desc")})
+    dims = {n: fact.select(F.col(f"{n}_desc").alias(f"{n}_no_id"), f"{n}_desc").dropna().distinct() for n in ("buyer", "vendor")}
+    return fact.drop("buyer_desc", "vendor_desc"), dims
+
+
 def test_pick_lists_and_export(spark):
-    df = model(spark, ROWS)
-    assert [r[0] for r in analytics.filter_options(df, "buyer_desc").collect()] == [None, "b1", "b2"]
+    fact, dims = named(spark, ROWS)
+    assert [r[0] for r in analytics.filter_options(fact, dims["buyer"], "buyer").collect()] == [None, "b1", "b2"]
     from tallyspark.sources.export import to_columns
-    assert to_columns(analytics.filter_options(df, "vendor_desc")).to_pydict() == {"vendor_desc": ["v1", "v2", "v3"]}
+    assert to_columns(analytics.filter_options(fact, dims["vendor"], "vendor")).to_pydict() == {"vendor_desc": ["v1", "v2", "v3"]}
+
+
+def test_only_needed_joins(spark):
+    fact, dims = named(spark, ROWS)
+
+    def plan(df):
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    slim = analytics.semantic_model(fact)
+    for df in (analytics.kpi_totals(slim), analytics.spend_by_date(slim), analytics.heatmap_counts(slim)):
+        assert "Join" not in plan(df)
+    options = plan(analytics.filter_options(fact, dims["buyer"], "buyer"))
+    assert options.count("Join") == 1 and "Aggregate" in options.split("Join")[1]
+    assert plan(analytics.semantic_model(fact, vendor=dims["vendor"])).count("Join") == 1
 
 
 def all_tables(silver_tables):

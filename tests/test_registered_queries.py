@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from workload.check import canonical, connect
+from workload.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).exists(), reason="needs the test tables")
@@ -16,7 +17,7 @@ def duck():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", contract.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, duck, name):
     result = contract.queries()[name](spark, SF)
     sql = duck.execute(contract.oracle_sql()[name])
