@@ -10,6 +10,7 @@ drawn again, until all are distinct.
 from __future__ import annotations
 
 import hmac
+import ipaddress
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -33,12 +34,15 @@ _HINT = re.compile(r"[0-9@]")
 _FOUND = re.compile(
     r"(?P<email>[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
     r"|(?P<ip>(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d))"
+    r"|(?P<ipv6>(?<![\w:.])(?:[0-9A-Fa-f]{0,4}:){2,7}(?:(?:\d{1,3}\.){3}\d{1,3}|[0-9A-Fa-f]{0,4})(?![\w:]|\.\d))"
     r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){3,7}(?:\x20?[A-Z0-9]{1,3})?(?!\w))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
+    r"|(?P<international>(?<![\w.])\+(?:\d{7,15}|\d{1,3}[\x20.-]?(?:\(\d{2,4}\)[\x20.-]?|\d{2,4}[\x20.-])\d{3,4}[\x20.-]?\d{3,4})(?![\w]|[.-]\d))"
     r"|(?P<card>(?<![\w-])\d(?:[\x20-]?\d){12,18}(?![\w-]))"
     r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[\x20.-]?)?(?:\(\d{2,4}\)[\x20.-]?|\d{2,4}[\x20.-])\d{3,4}[\x20.-]?\d{3,4}(?![\w]|[.-]\d))", re.A)
 _WORDS = "|".join(sorted((re.escape(t) for t in MALE + FEMALE), key=len, reverse=True))
 _TITLE = re.compile(rf"(?<!\w)({_WORDS})\.?[\x20\t]+([^\W\d_][\w'’-]*(?:[\x20\t]+[^\W\d_][\w'’-]*){{0,2}})")
+_OWNER = re.compile(r"(?:['’][sS])?['’-]*\Z")
 Span = tuple[int, int, str, str]  # start, end, kind, canonical form
 
 
@@ -48,7 +52,11 @@ def _script(word: str) -> str:
 
 
 def detect(text: str) -> list[Span]:
-    """Entities of one text, in order, without overlaps. A person's given and family names are entities of their own."""
+    """Entities of one text, in order, without overlaps. A person's given and family names are entities of their own.
+
+    A person is found by a title. Once found, each of their names is replaced wherever it stands in the text with a capital, but
+    for single letters.
+    """
     out: list[Span] = []
     if _HINT.search(text):
         for m in _FOUND.finditer(text):
@@ -57,19 +65,57 @@ def detect(text: str) -> list[Span]:
                 out.append((*m.span(), kind, raw.lower()))
             elif kind == "ip":
                 out.append((*m.span(), kind, ".".join(str(int(p)) for p in raw.split("."))))
+            elif kind == "ipv6":
+                address = _ipv6(raw)
+                if address:
+                    out.append((*m.span(), "ip", address))
             else:
-                out.append((*m.span(), kind, "".join(c for c in raw if c.isalnum() or c == "+")))
+                out.append((*m.span(), "phone" if kind == "international" else kind, "".join(c for c in raw if c.isalnum() or c == "+")))
+    known: dict[str, tuple[str, str]] = {}
     for m in _TITLE.finditer(text):
         gender = "m" if m[1] in MALE else "f"
-        names = [(m.start(2) + w.start(), w[0]) for w in re.finditer(r"\S+", m[2])]
+        names = [(m.start(2) + w.start(), _OWNER.sub("", w[0])) for w in re.finditer(r"\S+", m[2])]
         upper = 0
         while upper < len(names) and names[upper][1][0].isupper():
             upper += 1
         for n, (at, word) in enumerate(names[:upper]):
             family = n == upper - 1
-            out.append((at, at + len(word), "family" if family else "given", f"{_script(word)}:{'' if family else gender}:{word.casefold()}"))
-    out.sort()
-    return [s for n, s in enumerate(out) if not n or s[0] >= max(e for _, e, _, _ in out[:n])] if len(out) > 1 else out
+            name = "family" if family else "given", f"{_script(word)}:{'' if family else gender}:{word.casefold()}"
+            out.append((at, at + len(word), *name))
+            if len(word) > 1 and (family or word.casefold() not in known):
+                known[word.casefold()] = name
+    out = _apart(sorted(out))
+    if known:
+        # Boundaries are those of a title's names, so that a part of a double name stays with it.
+        words, taken = re.compile(r"[^\W\d_][\w'’-]*"), 0
+        bare = []
+        for m in words.finditer(text):
+            word = _OWNER.sub("", m[0])
+            for at, part in [(m.start(), word)] if word.casefold() in known else [(m.start() + w.start(), w[0]) for w in re.finditer(r"[^-]+", word)]:
+                while taken < len(out) and out[taken][1] <= at:
+                    taken += 1
+                if part[0].isupper() and part.casefold() in known and not (taken < len(out) and out[taken][0] < at + len(part)):
+                    bare.append((at, at + len(part), *known[part.casefold()]))
+        out = sorted(out + bare)
+    return out
+
+
+def _apart(spans: list[Span]) -> list[Span]:
+    """Sorted spans without those that begin before an earlier one ends."""
+    out, end = [], 0
+    for s in spans:
+        if s[0] >= end:
+            out.append(s)
+        end = max(end, s[1])
+    return out
+
+
+def _ipv6(raw: str) -> str | None:
+    """The address in its short form, if it is one and has a digit."""
+    try:
+        return ipaddress.IPv6Address(raw).compressed if any(c.isdigit() for c in raw) else None
+    except ValueError:
+        return None
 
 
 def _luhn(digits: str) -> bool:
@@ -86,6 +132,8 @@ def draw(kind: str, canonical: str, key: bytes, attempt: int) -> str:
         bits, r = divmod(bits, n)
         return r
 
+    if kind == "ip" and ":" in canonical:  # the range kept for documentation
+        return ipaddress.IPv6Address((0x20010DB8 << 96) + pick(1 << 96)).compressed
     if kind == "ip":
         return ".".join(str(1 + pick(223 if n == 0 else 254)) for n in range(4))
     if kind == "email":

@@ -60,3 +60,23 @@ def test_collisions_are_drawn_again(spark):
 def test_empty_and_repeated(spark, rows):
     out = S.replace(spark.createDataFrame(rows, "doc_id long, text string, spans string"), b"k").collect()
     assert len(out) == len(rows) and len({r.text for r in out}) == bool(rows)
+
+
+def test_bare_mentions_of_a_titled_person(spark):
+    text = "Mr John Smith called. Smith said that JOHN SMITH, Smith's brother and smith@a.example.org met Mrs Jane O'Neil-Smith. A smith, Johnson."
+    out = run(spark, [text, "Smith said"])
+    r = out[0]
+    given, family, a, b, c, d = re.match(r"Mr (\w+) (\w+) called\. (\w+) said that (\w+) (\w+), (\w+)'s brother", r.text).groups()
+    assert family == a == d and c == family.upper() and b == given.upper() and given != "John" and family != "Smith"
+    assert r.text.endswith("A smith, Johnson.") and "smith@" not in r.text and "O'Neil" not in r.text and r.n_entities == 9
+    assert out[1].text == "Smith said"
+
+
+def test_international_numbers_and_ipv6(spark):
+    texts = ["Call +14155552671 or +1 415 555 2671, +4915123456789 too.", "From 2001:0DB9:0::8a2e:370:7334 and 2001:db9::8a2e:370:7334 at 12:30:45, a::b."]
+    out = run(spark, texts)
+    one, two, three = re.match(r"Call (\+1\d{10}) or (\+1 \d{3} \d{3} \d{4}), (\+49\d{11}) too\.$", out[0].text).groups()
+    assert one == two.replace(" ", "") != "+14155552671" and three != "+4915123456789"
+    assert {m.split(":")[0] for m in out[0].spans.split(",")} == {"phone"}
+    x, y = re.match(r"From (\S+) and (\S+) at 12:30:45, a::b\.$", out[1].text).groups()
+    assert x == y and x.startswith("2001:db8:")
