@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyspark.llm import decontaminate, exact_dedup, html_text, line_dedup, near_dedup, packing, secrets, surrogates, token_counts, toxicity
+from tallyspark.llm import (
+    decontaminate, exact_dedup, html_text, line_dedup, near_dedup, packing, periodic_runs, secrets, surrogates, token_counts, toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -87,3 +89,8 @@ ORACLES["op3_line_dedup"] = line_dedup.ORACLE
 @query
 def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return surrogates.replace(table(spark, sf_dir, "documents"), key=b"example key of the registered query")
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_report(periodic_runs.planted(table(spark, sf_dir, "documents")))
