@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyspark.llm import (
-    decontaminate, exact_dedup, html_text, line_dedup, near_dedup, packing, periodic_runs, secrets, surrogates, token_counts, toxicity,
+    alignment, decontaminate, exact_dedup, html_text, line_dedup, near_dedup, packing, periodic_runs, secrets, surrogates, token_counts, toxicity,
+    url_filter,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,3 +95,18 @@ def op6_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_report(periodic_runs.planted(table(spark, sf_dir, "documents")))
+
+
+#: Fixed values of the query.
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
+@query
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, url_filter.outcomes_of(pages, table(spark, sf_dir, "labels")), URL_RULES)
+
+
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.link_report(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
