@@ -22,7 +22,7 @@ from tallyspark.session import staged
 # A host whose share of bad pages is above LIMIT with this probability is blocked.
 LIMIT, CONFIDENCE = 0.5, 0.95
 # Bounds of the weight of a prior, in pages, and the weight where no group has two labelled pages.
-LEAST, MOST, UNKNOWN = 0.5, 10_000.0, 10.0
+LEAST, MOST, UNKNOWN = 2.0, 10_000.0, 10.0
 # A key with more than this share of all rows is joined by broadcast; there are at most 64.
 HOT = 64
 # Labels that make a suffix together with a country's.

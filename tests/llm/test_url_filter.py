@@ -34,7 +34,7 @@ def rule_of(host, path, rules=URL_RULES):
 
 def posterior_bound(a, b, confidence):
     """Lower bound by summing the density on a grid in the logit."""
-    z = np.linspace(-60, 60, 1_200_001)
+    z = np.linspace(-2500, 2500, 2_500_001)
     log_x, log_rest = -np.logaddexp(0, -z), -np.logaddexp(0, z)
     density = np.exp(a * log_x + b * log_rest + math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b))
     below = np.cumsum(density) / density.sum()
