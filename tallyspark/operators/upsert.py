@@ -2,87 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import MapType, StructType, VariantType
 
-BUCKET = "bucket"
+from tallyspark.operators.versioned import DuplicateKeyError, Store, TableSpec, path_exists
 
+__all__ = ["DuplicateKeyError", "read_table", "upsert", "upsert_table"]
 
-class DuplicateKeyError(ValueError):
-    """Two source rows would update the same target row."""
-
-
-def check_source_keys(target: DataFrame, source: DataFrame, key: str) -> None:
-    """Raise if a key that exists in the target occurs more than once in the source.
-
-    Duplicates among new keys are inserted as they are; picking one would hide a key conflict.
-    Only keys seen twice, normally none, are looked up in the target.
-    """
-    repeated = (
-        source.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(key)
-    )
-    conflict = repeated.join(target.select(key), key, "left_semi").limit(1).collect()
-    if conflict:
-        raise DuplicateKeyError(f"{key} = {conflict[0][0]!r} occurs more than once in the batch and in the target")
+TABLE = "rows"
 
 
 def upsert(target: DataFrame | None, source: DataFrame, key: str) -> DataFrame:
     """The merged rows. The first run, without a target, is the source itself.
 
-    A NULL key matches nothing, so both sides keep such rows.
+    A NULL key matches nothing, so both sides keep such rows. A key that the target has and the source has more
+    than once fails the job that reads the result; duplicates among new keys are inserted as they are, for picking
+    one would hide a key conflict.
+
+    Both sides are scanned once and meet in one shuffle by key, in which source rows are counted. Rows with a NULL
+    key are spread by their content.
     """
     if target is None:
         return source
-    check_source_keys(target, source, key)
-    return target.join(source.select(key), key, "left_anti").unionByName(source)
+    both = target.withColumn("_new", F.lit(0)).unionByName(source.withColumn("_new", F.lit(1)))
+    plain = [F.col(f.name) for f in target.schema.fields if not isinstance(f.dataType, MapType | VariantType)]
+    per_key = Window.partitionBy(key, F.when(F.col(key).isNull(), F.xxhash64(*plain)))
+    counted = both.withColumns({"_in_source": F.sum("_new").over(per_key), "_in_target": F.sum(1 - F.col("_new")).over(per_key)})
+    conflict = F.col(key).isNotNull() & (F.col("_in_source") > 1) & (F.col("_in_target") > 0)
+    message = F.concat(F.lit(f"DuplicateKeyError: {key} = "), F.col(key).cast("string"), F.lit(" occurs more than once in the batch and in the target"))
+    kept = (F.col("_new") == 1) | (F.col("_in_source") == 0) | F.col(key).isNull()
+    return counted.filter(F.when(conflict, F.raise_error(message).cast("boolean")).otherwise(kept)).select(*target.columns)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
+def _store(spark: SparkSession, path: str, schema: StructType, key: str, buckets: int) -> Store:
+    return Store(spark, path, {TABLE: TableSpec(schema, key)}, buckets)
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
-    """Rows of a table kept by ``upsert_table``, without its layout column.
+def read_table(spark: SparkSession, path: str, schema: StructType, key: str) -> DataFrame | None:
+    """Rows of a table kept by ``upsert_table``.
 
     The schema is given, as a table may have been created by a batch without rows.
     """
-    return spark.read.schema(schema).parquet(path).select(*schema.names) if path_exists(spark, path) else None
-
-
-def bucket_of(*keys: Column, buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
-
-
-def touched_buckets(rows: DataFrame) -> list[int]:
-    """The bucket numbers found in ``rows``: small integers, at most one per bucket of the layout.
-
-    They are listed so that Spark prunes folders before it looks at any file.
-    """
-    return [r[0] for r in rows.select(BUCKET).distinct().collect()]
+    return _store(spark, path, schema, key, 1).read(TABLE) if path_exists(spark, path) else None
 
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: str, buckets: int = 256) -> None:
-    """Merge ``source`` into the parquet table at ``path``, rewriting only the buckets it touches.
-
-    Rows live in ``bucket = pmod(xxhash64(key), buckets)`` folders, so a batch reads and replaces
-    the folders its keys fall into and leaves the rest alone. ``buckets`` is a layout constant of
-    the table; choose it so that one folder is a file or a few. A replayed batch finds its own
-    rows, replaces them by the same rows and changes nothing.
+    """Merge ``source`` into the table at ``path``, in one version of it.
 
-    The source is written beside the table first: the key check, the merge and the choice of
-    folders then read it without running its plan again.
+    The batch is appended and the next version names it: what a batch writes is the batch, and now and then some
+    earlier ones put together. A replayed batch replaces its own rows by the same rows.
     """
-    incoming = f"{path}.incoming"
-    keyed = source.withColumn(BUCKET, bucket_of(F.col(key), buckets=buckets))
-    keyed.write.mode("overwrite").parquet(incoming)
-    merged = keyed = spark.read.schema(keyed.schema).parquet(incoming)
-    if path_exists(spark, path):
-        target = spark.read.schema(keyed.schema).parquet(path)
-        merged = upsert(target.filter(F.col(BUCKET).isin(touched_buckets(keyed))), keyed, key)
-    (
-        # Rebalancing writes whole buckets per task but lets AQE split one that is too large.
-        merged.hint("rebalance", BUCKET)
-        .write.partitionBy(BUCKET).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
-    )
+    store = _store(spark, path, source.schema, key, buckets)
+    batch = store.transaction()
+    try:
+        batch.put(TABLE, source, check_keys=True)
+    except DuplicateKeyError:
+        batch.drop()
+        raise
+    batch.commit()
+    store.compact()

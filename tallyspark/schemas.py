@@ -67,6 +67,10 @@ BINARY_FILE = columns("path string, modificationTime timestamp, length bigint, c
 
 LEDGER = columns("source_id int, file string, state string, last_modified timestamp, outcome string")
 
+# Files as listings name them, and which of these were taken up.
+LISTED = columns("path string, modificationTime timestamp, length bigint")
+SEEN = columns("version string, path string, modificationTime timestamp, length bigint")
+
 EXTRACTED = columns("path string, modificationTime timestamp, json string, error string")
 
 TABLES: dict[str, StructType] = {

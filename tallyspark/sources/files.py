@@ -2,39 +2,118 @@
 
 from __future__ import annotations
 
+import os
 import re
+from collections.abc import Iterator
+from datetime import UTC, datetime
+from urllib.parse import unquote, urlsplit
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyspark.functions.scalars import DOCUMENT_SUFFIXES, file_name
-from tallyspark.schemas import BINARY_FILE
+from tallyspark.functions.scalars import DOCUMENT_SUFFIXES, file_name, has_document_suffix
+from tallyspark.schemas import LISTED
+from tallyspark.session import staged
 
 MAX_FILES_PER_BATCH = 500  # fixed value
-# Spark forgets, and skips, files this much older than the newest one. A copy may keep old times, so none is too old.
-MAX_FILE_AGE = "36500d"
 GLOB = "*{" + ",".join(DOCUMENT_SUFFIXES) + "}"
+LISTED_TOGETHER = 10_000
+# Object stores that Spark names otherwise than Arrow does.
+ARROW_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 
 
-def new_files(spark: SparkSession, folder: str, max_files: int = MAX_FILES_PER_BATCH,
-              archive: str | None = None) -> DataFrame:
-    """A stream of the files in ``folder`` that no earlier run with the same checkpoint has seen.
+def entries(folder: str) -> Iterator[tuple[bool, str, datetime | None, int | None]]:
+    """Whether it is a folder, path, time and size of everything in one folder, not below it. Runs in a task."""
+    parts = urlsplit(folder)
+    if parts.scheme in ("", "file"):
+        base = unquote(parts.path) if parts.scheme else folder
+        with os.scandir(base) as found:
+            for entry in found:
+                if entry.is_dir():
+                    yield True, f"{folder.rstrip('/')}/{entry.name}", None, None
+                else:
+                    about = entry.stat()
+                    yield False, f"{folder.rstrip('/')}/{entry.name}", datetime.fromtimestamp(about.st_mtime_ns // 1_000_000 / 1000, UTC), about.st_size
+        return
+    from pyarrow import fs
 
-    Each micro-batch takes ``max_files`` at most. Suffixes are matched exactly, in lower case.
-    Files count as new by path, however old they are. The names of files seen are kept; with ``archive``,
-    consumed files are moved there while a later batch is planned, which keeps the folder short.
+    system, base = fs.FileSystem.from_uri(folder.replace(f"{parts.scheme}://", f"{ARROW_SCHEMES.get(parts.scheme, parts.scheme)}://", 1))
+    for info in system.get_file_info(fs.FileSelector(base)):
+        path = f"{folder.rstrip('/')}/{info.base_name}"
+        yield (True, path, None, None) if info.type == fs.FileType.Directory else (False, path, info.mtime, info.size)
+
+
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """path, modificationTime and length of all documents below ``folder``, listed in tasks, one for each folder.
+
+    The driver knows how deep the folders are and nothing else of them. Suffixes are matched exactly, in lower case;
+    names that begin with ``.`` or ``_`` are left out, as Spark leaves them out.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["is_folder", *LISTED.names]
+        for batch in batches:
+            for folder in batch.column("path").to_pylist():
+                held = []
+                for row in entries(folder):
+                    if not row[1].rsplit("/", 1)[-1].startswith((".", "_")):
+                        held.append(row)
+                    if len(held) == LISTED_TOGETHER:
+                        yield _batch(held, names)
+                        held = []
+                yield _batch(held, names)
+
+    levels = []
+    folders = spark.createDataFrame([(folder,)], "path string")
+    while True:
+        found = staged(folders.mapInArrow(run, "is_folder boolean, path string, modificationTime timestamp, length bigint"), "listing")
+        levels.append(found.filter("NOT is_folder"))
+        below = found.filter("is_folder").select("path")
+        count = below.count()
+        if not count:
+            break
+        folders = below.repartition(min(count, 10_000))
+    listed = levels[0]
+    for level in levels[1:]:
+        listed = listed.unionByName(level)
+    return listed.filter(has_document_suffix(F.col("path"))).select(*LISTED.names)
+
+
+def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    kinds = [pa.bool_(), pa.string(), pa.timestamp("us", "UTC"), pa.int64()]
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+
+def file_version() -> Column:
+    """What a file counts as new by: its path and its time, so one put in again under its name is new."""
+    return F.concat_ws("|", F.col("path"), F.unix_millis("modificationTime").cast("string"))
+
+
+def not_seen(listed: DataFrame, seen: DataFrame) -> DataFrame:
+    """Listed files that ``seen`` (version) does not have, with their version, however old they are."""
+    return listed.withColumn("version", file_version()).join(seen.select("version"), "version", "left_anti")
+
+
+def in_portions(files: DataFrame, size: int) -> DataFrame:
+    """``files`` (path, ...) with the column ``portion``: numbers from 0, ``size`` files each, in the order of paths.
+
+    One sort; then places are counted on from the sizes of its partitions.
     """
-    reader = (
-        spark.readStream.format("binaryFile").schema(BINARY_FILE)
-        .option("pathGlobFilter", GLOB).option("maxFilesPerTrigger", max_files).option("maxFileAge", MAX_FILE_AGE)
-    )
-    if archive:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
-    return reader.load(folder)
+    ordered = staged(files.orderBy("path").withColumn("_place", F.monotonically_increasing_id()), "ordered-files")
+    part = F.shiftright("_place", 33)
+    sizes = [(r[0], r[1]) for r in ordered.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).orderBy("part").collect()]  # one per partition of the sort
+    before, at = [], 0
+    for number, n in sizes:
+        before.append((number, at))
+        at += n
+    starts = files.sparkSession.createDataFrame(before, "_part long, _before long")
+    place = F.col("_before") + F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return ordered.join(F.broadcast(starts), part == F.col("_part")).withColumn("portion", F.floor(place / size).cast("int")).drop("_place", "_part", "_before")
 
 
 def read_files(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """A batch read, for files put back for a retry. Names are taken as they are, also with pattern characters."""
+    """Files with their content. Names are taken as they are, also with pattern characters."""
     paths = [paths] if isinstance(paths, str) else paths
     return spark.read.format("binaryFile").option("pathGlobFilter", GLOB).load([re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths])
 

@@ -1,4 +1,4 @@
-"""File states: unprocessed -> startedprocessing -> processed, kept as a table.
+"""File states: unprocessed -> startedprocessing -> processed, or quarantined, kept as a table.
 
 The ledger takes the place of moving objects between folders. It is keyed by source and file.
 """
@@ -12,7 +12,7 @@ from tallyspark.functions.scalars import has_document_suffix
 from tallyspark.operators.upsert import upsert
 from tallyspark.schemas import LEDGER
 
-UNPROCESSED, STARTED, PROCESSED = "unprocessed", "startedprocessing", "processed"
+UNPROCESSED, STARTED, PROCESSED, QUARANTINED = "unprocessed", "startedprocessing", "processed", "quarantined"
 
 
 def ledger_rows(

@@ -1,18 +1,24 @@
-"""From arriving files to silver tables, one micro-batch at a time.
-
-Folders of one source below ``root``:
-
-``extracted/<table>/batch_id=<n>``  what the extractor returned for each file
-``bronze/<table>/batch_id=<n>``     extracted documents; a replayed batch overwrites itself
-``documents/<table>/batch_id=<n>/bucket=<b>``  the same documents parsed, so that history is never
-                                    parsed again, in buckets by invoice
-``rejected/<table>/batch_id=<n>``   failed or empty extractions with their error
-``silver/<table>/bucket=<b>``       merged invoice lines
-``ledger/<table>/bucket=<b>``       state of each file
+"""From arriving files to silver tables, one batch at a time.
+
+Each source has one ``Store`` below ``root/tables/<source>`` with these tables, which change together:
+
+``bronze``      extracted documents
+``documents``   the same documents parsed, so that history is never parsed again, by invoice
+``silver``      merged invoice lines
+``ledger``      state of each file
+``seen``        versions of files that were taken up
+``rejected``    failed or empty extractions with their error
+``quarantine``  documents of batches that failed a data test, with the reason
+
+A batch is written beside the tables, its lines are tested, and one new version of the store shows its data and
+the states of its files, or, if a test failed, their states alone. Files come in runs: the listing without what
+``seen`` has is written below ``root/queue`` in portions, which a stream takes one by one. Its checkpoint belongs
+to that run, so it and the driver hold what one run found, whatever was loaded before.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -22,15 +28,17 @@ from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tallyspark.operators.extract import Extractor, accepted, extract_documents, quarantined
-from tallyspark.operators.upsert import BUCKET, bucket_of, path_exists, read_table, touched_buckets, upsert_table
+from tallyspark.operators.quality import DataQualityError, gate
+from tallyspark.operators.versioned import DuplicateKeyError, Store, TableSpec, Transaction, delete_path, path_exists
+from tallyspark.plans.gold import star
 from tallyspark.plans.silver import documents, ds1_invoice_no, silver_ds1_lines, silver_ds2_lines
-from tallyspark.schemas import BRONZE, EXTRACTED, LEDGER, SILVER_DB, TABLES
+from tallyspark.schemas import BRONZE, EXTRACTED, GOLD_DB, LEDGER, LISTED, SEEN, SILVER_DB, TABLES
 from tallyspark.sources.bronze import bronze_envelope
-from tallyspark.sources.files import MAX_FILES_PER_BATCH, new_files, with_file_name
-from tallyspark.sources.ledger import PROCESSED, STARTED, ledger_rows
+from tallyspark.sources.files import MAX_FILES_PER_BATCH, in_portions, list_files, not_seen, read_files, with_file_name
+from tallyspark.sources.ledger import PROCESSED, QUARANTINED, STARTED, UNPROCESSED, ledger_rows
 from tallyspark.sources.registry import SourceSpec
 
-# source id -> (columns that decide which documents an invoice line depends on, silver plan).
+# source id -> (what decides which documents an invoice line depends on, silver plan).
 # Source 2 re-derives all documents of an order: its line key leaves out the client, and a
 # conflict between two clients of one order must show up as such.
 SILVER: dict[int, tuple[Callable[[], Column], Callable[[DataFrame], DataFrame]]] = {
@@ -38,7 +46,10 @@ SILVER: dict[int, tuple[Callable[[], Column], Callable[[DataFrame], DataFrame]]]
     2: (lambda: F.col("order_id"), silver_ds2_lines),
 }
 
-LINE_KEY = "unique_invoice_line_no"
+LINE_KEY, INVOICE = "unique_invoice_line_no", "_invoice"
+REJECTED = StructType([*EXTRACTED.fields, StructField("outcome", StringType())])
+QUARANTINE = StructType([*BRONZE.fields, StructField("reason", StringType())])
+QUEUED = StructType([*LISTED.fields, StructField("portion", IntegerType())])
 
 
 @dataclass(frozen=True)
@@ -47,76 +58,208 @@ class Layout:
 
     root: str
     spec: SourceSpec
-    # Folders per table. Sized once for the whole table: a few hundred MB per folder.
+    # Most buckets of a segment. Sized once for the whole source: a few hundred MB each.
     buckets: int = 256
 
-    def folder(self, kind: str) -> str:
-        table = self.spec.silver_table if kind == "silver" else self.spec.bronze_table
-        return f"{self.root}/{kind}/{table}"
+    @property
+    def folder(self) -> str:
+        return f"{self.root}/tables/{self.spec.bucket}"
 
-    def batch(self, kind: str, batch_id: int | str) -> str:
-        return f"{self.folder(kind)}/batch_id={batch_id}"
+    def store(self, spark: SparkSession) -> Store:
+        parsed = documents(spark.createDataFrame([], BRONZE), self.spec).schema
+        return Store(spark, self.folder, {
+            "bronze": TableSpec(BRONZE, "id", replace=False),
+            "documents": TableSpec(StructType([*parsed.fields, StructField(INVOICE, StringType())]), INVOICE, replace=False),
+            "silver": TableSpec(TABLES[f"{SILVER_DB}.{self.spec.silver_table}"], LINE_KEY),
+            "ledger": TableSpec(LEDGER, "file"),
+            "seen": TableSpec(SEEN, "version", replace=False),
+            "rejected": TableSpec(REJECTED, "path", replace=False),
+            "quarantine": TableSpec(QUARANTINE, "id", replace=False),
+        }, self.buckets)
 
 
-def load_bronze_batch(bronze: DataFrame, layout: Layout, batch_id: int | str) -> None:
-    """Append one batch of bronze rows and bring the silver table up to date with it.
+def is_loaded(values: dict, stream: str, number: list[int]) -> bool:
+    """Whether a batch of a stream, or a later one, is part of the tables."""
+    return values.get("progress", {}).get(stream, [-1]) >= number
 
-    Every step is repeatable: batch folders are overwritten by the same rows and the merge
-    replaces lines by themselves.
-    """
-    spark = bronze.sparkSession
-    bronze.write.mode("overwrite").parquet(layout.batch("bronze", batch_id))
-    stored = spark.read.schema(BRONZE).parquet(layout.batch("bronze", batch_id))
-    group, _ = SILVER[layout.spec.source_id]
-    parsed = documents(stored, layout.spec).withColumn(BUCKET, bucket_of(group(), buckets=layout.buckets))
-    parsed.hint("rebalance", BUCKET).write.partitionBy(BUCKET).mode("overwrite").parquet(
-        layout.batch("documents", batch_id)
-    )
-    update_silver(spark, layout, batch_id)
 
+def _note_progress(batch: Transaction, stream: str, number: list[int]) -> None:
+    batch.values["progress"] = {**batch.values.get("progress", {}), stream: number}
 
-def load_files(files: DataFrame, layout: Layout, batch_id: int | str, extractor: Callable[[], Extractor]) -> None:
-    """Extract one batch of files, load what was read and note the state of each file.
 
-    The extractor may be a costly model, so its results are written once and read for each use.
-    A file without a result stays in processing until ``requeue_stale`` puts it back.
+def _put_documents(batch: Transaction, layout: Layout, bronze: DataFrame) -> DataFrame:
+    """Write bronze rows, parsed documents and the lines that follow from them; returns the lines."""
+    group, plan = SILVER[layout.spec.source_id]
+    stored = batch.put("bronze", bronze)
+    level = batch.store.level_for(stored.count())
+    new = batch.put("documents", documents(stored, layout.spec).withColumn(INVOICE, group()), level)
+    touched = new.select(INVOICE).distinct()
+    # All versions of the invoices that the batch has documents of; only their buckets are read.
+    history = batch.read("documents", batch.store.touched(touched))
+    # No hint: a batch of some hundred files is broadcast, a first load of everything is not.
+    affected = history.join(touched.withColumnRenamed(INVOICE, "_touched"), F.col(INVOICE).eqNullSafe(F.col("_touched")), "left_semi")
+    return batch.put("silver", plan(affected.drop(INVOICE)), level, check_keys=True)
+
+
+def test_batch(lines: DataFrame, spec: SourceSpec) -> None:
+    """Run the declared tests on a batch's lines and on the star they make by themselves.
+
+    A batch replaces whole lines by key, and fact rows and dimension members follow from lines one by one: a line
+    that breaks a test breaks it here too, and lines of earlier batches were tested then.
     """
-    spark = files.sparkSession
-    note_files(with_file_name(files.select("path")), layout, F.lit(STARTED))
-    extract_documents(files, layout.spec, extractor).write.mode("overwrite").parquet(
-        layout.batch("extracted", batch_id)
-    )
-    extracted = spark.read.schema(EXTRACTED).parquet(layout.batch("extracted", batch_id))
-    quarantined(extracted).write.mode("overwrite").parquet(layout.batch("rejected", batch_id))
-    load_bronze_batch(bronze_envelope(accepted(extracted), layout.spec), layout, batch_id)
-    done = accepted(extracted).withColumn("outcome", F.lit("done"))
-    results = done.unionByName(quarantined(extracted))
-    state = F.when(F.col("outcome") == "done", PROCESSED).otherwise(STARTED)
-    note_files(with_file_name(results), layout, state, F.col("outcome"))
+    tables = {f"{SILVER_DB}.{spec.silver_table}": lines}
+    gate(tables | {f"{GOLD_DB}.{name}": df for name, df in star({spec.source_id: lines}).items()})
 
 
-def note_files(files: DataFrame, layout: Layout, state: Column, outcome: Column | None = None) -> None:
-    rows = ledger_rows(files, layout.spec.source_id, state, F.current_timestamp(), outcome)
-    upsert_table(files.sparkSession, layout.folder("ledger"), rows.dropDuplicates(["file"]), "file", layout.buckets)
+test_batch.__test__ = False  # not a test of this repository
 
 
-def update_silver(spark: SparkSession, layout: Layout, batch_id: int | str) -> None:
-    """Re-derive the invoices that the batch has documents of, from all their versions, and merge.
+def load_bronze_batch(bronze: DataFrame, layout: Layout, number: list[int], stream: str = "rows", on_fail: str = "stop",
+                      more: Callable[[Transaction, str | None], None] | None = None) -> str | None:
+    """Add one batch of bronze rows and what follows from it, if its lines pass the data tests.
 
-    Only buckets that the batch touches are read, whatever the length of the history.
+    A batch that fails adds nothing. With ``on_fail="continue"`` its rows are kept in quarantine, with ``"stop"`` the
+    failure is raised; either way the batch counts as seen and is not taken again. ``more`` adds what else belongs to
+    the batch and is told of the failure. A batch that the tables have is left out. Returns the failure.
     """
-    group, plan = SILVER[layout.spec.source_id]
-    schema = documents(spark.createDataFrame([], BRONZE), layout.spec).schema.add(BUCKET, IntegerType())
-    batch = spark.read.schema(schema).parquet(layout.batch("documents", batch_id))
-    history = spark.read.schema(schema).parquet(layout.folder("documents"))
-    history = history.filter(F.col(BUCKET).isin(touched_buckets(batch)))
-    touched = batch.select(F.col(BUCKET).alias("_bucket"), group().alias("_touched")).distinct()
-    # No hint: a batch of some hundred files is broadcast, a first load of everything is not. With
-    # the bucket among its keys, a shuffled join cannot pass for the silver plan's own
-    # partitioning, which must come after that plan's reduction per task.
-    same_invoice = [F.col(BUCKET) == F.col("_bucket"), group().eqNullSafe(F.col("_touched"))]
-    affected = history.join(touched, same_invoice, "left_semi")
-    upsert_table(spark, layout.folder("silver"), plan(affected.drop(BUCKET, "batch_id")), LINE_KEY, layout.buckets)
+    if on_fail not in ("stop", "continue"):
+        raise ValueError(f"on_fail must be 'stop' or 'continue', not {on_fail!r}")
+    store = layout.store(bronze.sparkSession)
+    batch = store.transaction()
+    if is_loaded(batch.base.values, stream, number):
+        return None
+    failure = None
+    try:
+        test_batch(_put_documents(batch, layout, bronze), layout.spec)
+    except (DataQualityError, DuplicateKeyError) as problem:
+        failure = problem
+        batch.drop()
+        if on_fail == "continue":
+            batch.put("quarantine", bronze.withColumn("reason", F.lit(str(problem))))
+    if more:
+        more(batch, None if failure is None else str(failure))
+    _note_progress(batch, stream, number)
+    batch.commit()
+    store.compact()
+    if failure is not None and on_fail == "stop":
+        raise failure
+    return None if failure is None else str(failure)
+
+
+def load_files(files: DataFrame, layout: Layout, number: list[int], extractor: Callable[[], Extractor], on_fail: str = "stop",
+               archive: str | None = None) -> None:
+    """Extract one portion of files (path), load what was read and note the state of each file, all in one version.
+
+    The extractor may be a costly model, so its results are written once and read for each use. A file without a
+    result, or in a batch that stopped the source, stays in processing until ``requeue_stale`` puts it back. Files
+    whose batch was loaded go to ``archive`` if one is given.
+    """
+    spark, stream = files.sparkSession, "files"
+    if is_loaded(layout.store(spark).version().values, stream, number):
+        return
+    paths = sorted(r[0] for r in files.select("path").collect())  # one portion
+    there = [p for p in paths if path_exists(spark, p)]
+    _note_states(layout, with_file_name(files.select("path")), F.lit(STARTED))
+    scratch = f"{layout.root}/extracted/{layout.spec.bucket}/{'-'.join(map(str, number))}"
+    found = extract_documents(read_files(spark, there), layout.spec, extractor) if there else spark.createDataFrame([], EXTRACTED)
+    lost = spark.createDataFrame([(p, None, None, "FileNotFoundError") for p in paths if p not in set(there)], EXTRACTED)
+    found.unionByName(lost).write.mode("overwrite").parquet(scratch)
+    extracted = spark.read.schema(EXTRACTED).parquet(scratch)
+    rejected = quarantined(extracted)
+
+    def note(batch: Transaction, failure: str | None) -> None:
+        batch.put("rejected", rejected)
+        held = QUARANTINED if on_fail == "continue" else STARTED
+        state, outcome = (PROCESSED, "done") if failure is None else (held, f"failed_tests: {failure}")
+        done = accepted(extracted).withColumn("outcome", F.lit(outcome))
+        both = with_file_name(done.unionByName(rejected))
+        batch.put("ledger", _states(both, layout, F.when(F.col("outcome") == outcome, state).otherwise(STARTED), F.col("outcome")))
+
+    failure = load_bronze_batch(bronze_envelope(accepted(extracted), layout.spec), layout, number, stream, on_fail, note)
+    if archive and failure is None:
+        _archive(spark, [r[0] for r in accepted(extracted).select("path").collect()], archive)
+    delete_path(spark, scratch)
+
+
+def _states(files: DataFrame, layout: Layout, state: Column, outcome: Column | None = None) -> DataFrame:
+    return ledger_rows(files, layout.spec.source_id, state, F.current_timestamp(), outcome).dropDuplicates(["file"])
+
+
+def _note_states(layout: Layout, files: DataFrame, state: Column) -> None:
+    batch = layout.store(files.sparkSession).transaction()
+    batch.put("ledger", _states(files, layout, state))
+    batch.commit()
+
+
+def _archive(spark: SparkSession, paths: list[str], folder: str) -> None:
+    """Move the files of a portion out of the inbox. One whose move is cut short is seen and not taken again."""
+    system = spark._jvm.org.apache.hadoop.fs.Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(folder))
+    for path in paths:
+        name = path.rsplit("/", 1)[-1]
+        if path_exists(spark, f"{folder}/{name}"):
+            name = f"{hashlib.sha256(path.encode()).hexdigest()[:16]}-{name}"
+        system.rename(spark._jvm.org.apache.hadoop.fs.Path(path), spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}"))
+
+
+def find_new_files(spark: SparkSession, layout: Layout, folder: str) -> DataFrame:
+    """path, modificationTime, length and version of the files that no earlier run has taken up."""
+    listed = list_files(spark, folder)
+    store = layout.store(spark)
+    version = store.version()
+    if not version.tables.get("seen"):
+        return not_seen(listed, spark.createDataFrame([], SEEN))
+    versions = not_seen(listed, spark.createDataFrame([], SEEN)).select("version")
+    return not_seen(listed, store.read("seen", store.touched(versions), version))
+
+
+def open_run(spark: SparkSession, layout: Layout, files: DataFrame, max_files: int) -> int:
+    """Write ``files`` as the portions of a new run and note them as seen; returns how many there are."""
+    files = in_portions(files.select(*SEEN.names), max_files)
+    store = layout.store(spark)
+    batch = store.transaction()
+    number = batch.values.get("run", {"number": 0})["number"] + 1
+    queue = f"{layout.root}/queue/{layout.spec.bucket}/run={number}-{store.version().number}"
+    count, last = files.agg(F.count(F.lit(1)), F.max("portion")).first()
+    if not count:
+        return 0
+    files.select(*QUEUED.names).repartition(last + 1, "portion").write.partitionBy("portion").parquet(f"{queue}/files")
+    batch.put("seen", files.select(*SEEN.names), store.level_for(count))
+    batch.put("ledger", _states(with_file_name(files.select("path")), layout, F.lit(UNPROCESSED)), store.level_for(count))
+    batch.values["run"] = {"number": number, "queue": queue}
+    batch.commit()
+    return count
+
+
+def close_run(spark: SparkSession, layout: Layout) -> None:
+    """Forget a run whose portions are all loaded."""
+    batch = layout.store(spark).transaction()
+    run = batch.values.get("run", {})
+    if "queue" in run:
+        batch.values["run"] = {"number": run["number"]}
+        batch.commit()
+        delete_path(spark, run["queue"])
+
+
+def run_stream(spark: SparkSession, layout: Layout, extractor: Callable[[], Extractor], on_fail: str = "stop", archive: str | None = None) -> StreamingQuery:
+    """Take the portions of the open run that are not loaded yet, one by one, and stop.
+
+    A batch that is cut short runs again at the next start, under the same number and with the same files; one that
+    is part of the tables already is left out.
+    """
+    run = layout.store(spark).version().values.get("run", {"number": 0})
+    queue = run.get("queue", f"{layout.root}/queue/{layout.spec.bucket}/none")
+    for name in ("files", "checkpoint"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{queue}/{name}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
+    portions = spark.readStream.schema(QUEUED).option("maxFilesPerTrigger", 1).parquet(f"{queue}/files")
+    return (
+        portions.writeStream
+        .foreachBatch(lambda files, batch_id: load_files(files, layout, [run["number"], batch_id], extractor, on_fail, archive))
+        .option("checkpointLocation", f"{queue}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
 
 
 def ingest_stream(
@@ -124,47 +267,57 @@ def ingest_stream(
     spec: SourceSpec,
     in_dir: str,
     out_dir: str,
-    checkpoint: str,
     extractor: Callable[[], Extractor],
     max_files: int = MAX_FILES_PER_BATCH,
     archive: str | None = None,
     buckets: int = 256,
+    on_fail: str = "stop",
 ) -> StreamingQuery:
-    """Process all new files of a source and stop; the next start takes up what came since.
+    """Process all new files of a source and stop; the next call takes up what came since.
 
-    Spark's checkpoint holds which files are done. A batch that fails is not recorded and runs
-    again at the next start, under the same number and with the same files.
+    A run that an earlier call left open, for it failed or its process ended, is finished first.
     """
     layout = Layout(out_dir, spec, buckets)
-    return (
-        new_files(spark, in_dir, max_files, archive)
-        .writeStream.foreachBatch(lambda files, batch_id: load_files(files, layout, batch_id, extractor))
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    if "queue" in layout.store(spark).version().values.get("run", {}):
+        run_stream(spark, layout, extractor, on_fail, archive).awaitTermination()
+        close_run(spark, layout)
+    open_run(spark, layout, find_new_files(spark, layout, in_dir), max_files)
+    return run_stream(spark, layout, extractor, on_fail, archive)
 
 
-def upsert_stream(bronze: DataFrame, spec: SourceSpec, out_dir: str, checkpoint: str, buckets: int = 256) -> StreamingQuery:
+def upsert_stream(bronze: DataFrame, spec: SourceSpec, out_dir: str, checkpoint: str, buckets: int = 256, on_fail: str = "stop") -> StreamingQuery:
     """The same load for a stream of bronze rows that were extracted elsewhere."""
     layout = Layout(out_dir, spec, buckets)
+    stream = f"rows-{hashlib.sha256(checkpoint.encode()).hexdigest()[:16]}"
     return (
-        bronze.writeStream.foreachBatch(lambda rows, batch_id: load_bronze_batch(rows, layout, batch_id))
+        bronze.writeStream.foreachBatch(lambda rows, batch_id: load_bronze_batch(rows, layout, [batch_id], stream, on_fail))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def _table(spark: SparkSession, root: str, spec: SourceSpec, table: str) -> DataFrame | None:
+    store = Layout(root, spec).store(spark)
+    version = store.version()
+    return store.read(table, at=version) if version.number else None
+
+
 def silver_table(spark: SparkSession, root: str, spec: SourceSpec) -> DataFrame | None:
-    return read_table(spark, Layout(root, spec).folder("silver"), TABLES[f"{SILVER_DB}.{spec.silver_table}"])
+    return _table(spark, root, spec, "silver")
+
+
+def bronze_table(spark: SparkSession, root: str, spec: SourceSpec) -> DataFrame | None:
+    return _table(spark, root, spec, "bronze")
 
 
 def file_states(spark: SparkSession, root: str, spec: SourceSpec) -> DataFrame | None:
-    return read_table(spark, Layout(root, spec).folder("ledger"), LEDGER)
+    return _table(spark, root, spec, "ledger")
 
 
 def rejected_files(spark: SparkSession, root: str, spec: SourceSpec) -> DataFrame | None:
-    folder = Layout(root, spec).folder("rejected")
-    schema = StructType([*EXTRACTED.fields, StructField("outcome", StringType())])
-    return spark.read.schema(schema).parquet(folder).drop("batch_id") if path_exists(spark, folder) else None
+    return _table(spark, root, spec, "rejected")
+
+
+def quarantined_rows(spark: SparkSession, root: str, spec: SourceSpec) -> DataFrame | None:
+    return _table(spark, root, spec, "quarantine")

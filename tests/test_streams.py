@@ -12,7 +12,7 @@ from tallyspark.operators.extract import accepted, extract_documents, quarantine
 from tallyspark.schemas import BRONZE
 from tallyspark.sources.bronze import bronze_envelope
 from tallyspark.sources.registry import DS1, DS2
-from tallyspark.streaming.ingest import ingest_stream, rejected_files, silver_table
+from tallyspark.streaming.ingest import bronze_table, ingest_stream, rejected_files, silver_table
 from tallyspark.streaming.runs import Run, run_all
 
 # Workers cannot import this test module, so its classes travel with the job.
@@ -55,7 +55,7 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
     inbox, out = tmp_path / "in", tmp_path / "out"
 
     def run():
-        ingest_stream(spark, DS2, str(inbox), str(out), str(tmp_path / "cp"), LabelReader, max_files=2, buckets=4).awaitTermination()
+        ingest_stream(spark, DS2, str(inbox), str(out), LabelReader, max_files=2, buckets=4).awaitTermination()
 
     put(inbox, "1.pdf", invoice("O1"))
     put(inbox, "2.jpg", invoice("O2"))
@@ -86,7 +86,7 @@ def test_consumed_files_are_archived(spark, tmp_path):
     inbox = tmp_path / "in"
     for i in range(3):  # Spark moves files away while it plans a later batch
         put(inbox, f"{i}.pdf", invoice(f"O{i}"))
-        ingest_stream(spark, DS2, str(inbox), str(tmp_path / "out"), str(tmp_path / "cp"), LabelReader,
+        ingest_stream(spark, DS2, str(inbox), str(tmp_path / "out"), LabelReader,
                       archive=str(tmp_path / "archive"), buckets=4).awaitTermination()
     assert len(lines(spark, tmp_path / "out")) == 3
     assert {p.name for p in (tmp_path / "archive").rglob("*.pdf")} >= {"0.pdf"}
@@ -104,9 +104,9 @@ def test_run_reports_retries_and_publishes_only_tested_tables(spark, tmp_path):
     assert [r.invoice_no for r in spark.table(fact).collect()] == ["O1"]
 
     now = F.current_timestamp()
-    assert run.retry_stale(2, now, "early") == 0
+    assert run.retry_stale(2, now) == 0
     marker.unlink()
-    assert run.retry_stale(2, now + F.expr("INTERVAL 2 HOURS"), "late") == 1
+    assert run.retry_stale(2, now + F.expr("INTERVAL 2 HOURS")) == 1
     assert [tuple(r) for r in run_all(run, "2").collect()] == [(2, "done", 2, 0, None)]
     assert sorted(r.invoice_no for r in spark.table(fact).collect()) == ["O1", "O2"]
 
@@ -167,7 +167,7 @@ def test_old_late_file_is_taken(spark, tmp_path):
     inbox, out = tmp_path / "in", tmp_path / "out"
 
     def run():
-        ingest_stream(spark, DS2, str(inbox), str(out), str(tmp_path / "cp"), LabelReader, buckets=4).awaitTermination()
+        ingest_stream(spark, DS2, str(inbox), str(out), LabelReader, buckets=4).awaitTermination()
 
     put(inbox, "1.pdf", invoice("O1"))
     run()
@@ -178,7 +178,7 @@ def test_old_late_file_is_taken(spark, tmp_path):
     assert [r[0] for r in lines(spark, out)] == ["O1", "O2"]
 
 
-def test_retries_with_one_label_keep_both_batches(spark, tmp_path):
+def test_retries_keep_both_batches(spark, tmp_path):
     inbox, marker = tmp_path / "in", tmp_path / "marker"
     marker.touch()
     for n in (1, 2):
@@ -188,12 +188,12 @@ def test_retries_with_one_label_keep_both_batches(spark, tmp_path):
     now = F.current_timestamp() + F.expr("INTERVAL 2 HOURS")
     first = F.current_timestamp() + F.expr("INTERVAL 3 HOURS")
     marker.unlink()
-    assert run.retry_stale(2, now, "daily") == 2
+    assert run.retry_stale(2, now) == 2
     put(inbox, "3.pdf", invoice("O3", fail=True))
     marker.touch()
     run.ingest()
     marker.unlink()
-    assert run.retry_stale(2, first, "daily") == 1
-    names = [r[0] for r in spark.read.parquet(run.layout(2).folder("bronze")).select("file_name_in_R2").collect()]
+    assert run.retry_stale(2, first) == 1
+    names = [r[0] for r in bronze_table(spark, run.root, DS2).select("file_name_in_R2").collect()]
     assert sorted(names) == ["1 {x}.pdf", "2 {x}.pdf", "3.pdf"]
     assert [r[0] for r in lines(spark, run.root)] == ["O1", "O2", "O3"]

@@ -3,8 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspark.operators import DuplicateKeyError, upsert, upsert_table
-from tallyspark.operators.upsert import read_table
+from tallyspark.operators import DuplicateKeyError, read_table, upsert, upsert_table
 from tallyspark.schemas import LEDGER, columns
 from tallyspark.sources import ledger
 
@@ -26,26 +25,36 @@ def test_upsert(spark):
 
 def test_repeated_source_keys(spark):
     target = spark.createDataFrame([("a", 1)], SCHEMA)
-    with pytest.raises(DuplicateKeyError):
-        upsert(target, spark.createDataFrame([("a", 2), ("a", 3)], SCHEMA), "k")
+    with pytest.raises(Exception, match="DuplicateKeyError: k = a occurs more than once"):
+        upsert(target, spark.createDataFrame([("a", 2), ("a", 3)], SCHEMA), "k").collect()
     new = spark.createDataFrame([("b", 2), ("b", 3)], SCHEMA)
     assert rows(upsert(target, new, "k")) == [("a", 1), ("b", 2), ("b", 3)]
 
 
-def test_upsert_table_rewrites_touched_buckets_only(spark, tmp_path):
+def test_upsert_scans_each_side_once(spark, tmp_path):
+    for name in ("target", "source"):
+        spark.range(10).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v")).write.parquet(str(tmp_path / name))
+    sides = [spark.read.parquet(str(tmp_path / name)) for name in ("target", "source")]
+    plan = upsert(*sides, "k")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 2 and "Join" not in plan
+
+
+def test_upsert_table_appends_batches(spark, tmp_path):
     path = str(tmp_path / "t")
-    assert read_table(spark, path, TABLE) is None
+    assert read_table(spark, path, TABLE, "k") is None
     upsert_table(spark, path, spark.range(200).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v")), "k", 16)
-    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").glob("bucket=*/*.parquet")}
-    assert len({p.parent for p in before}) == 16
+    before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").glob("data/*/*/bucket=*/*.parquet")}
+    assert before
     batch = spark.createDataFrame([("7", 2), ("new", 3)], SCHEMA)
     for _ in range(2):  # the second time changes nothing
         upsert_table(spark, path, batch, "k", 16)
-        table = read_table(spark, path, TABLE)
+        table = read_table(spark, path, TABLE, "k")
         assert table.columns == ["k", "v"] and table.count() == 201
         assert rows(table.filter("v > 1")) == [("7", 2), ("new", 3)]
-    kept = {p for p in (tmp_path / "t").glob("bucket=*/*.parquet") if before.get(p) == p.stat().st_mtime_ns}
-    assert 14 <= len({p.parent for p in kept}) < 16
+    assert {p: p.stat().st_mtime_ns for p in before} == before
+    with pytest.raises(DuplicateKeyError):
+        upsert_table(spark, path, spark.createDataFrame([("7", 2), ("7", 3)], SCHEMA), "k", 16)
+    assert read_table(spark, path, TABLE, "k").count() == 201
 
 
 NOW = dt.datetime(2024, 1, 1, 12)

@@ -16,9 +16,9 @@ from tallyspark.session import durable_path, staged
 from tallyspark.sources import ddl, ledger
 from tallyspark.sources.bronze import bronze_envelope
 from tallyspark.sources.export import sample_by_path
-from tallyspark.sources.files import new_files, with_file_name
+from tallyspark.sources.files import with_file_name
 from tallyspark.sources.registry import DS2, route
-from tallyspark.streaming.ingest import ingest_stream, silver_table, upsert_stream
+from tallyspark.streaming.ingest import Layout, find_new_files, ingest_stream, silver_table, upsert_stream
 from tallyspark.streaming.runs import Run, run_all
 from workload import fixtures as fx
 from workload.expected import GOLD, SILVER2_COLUMNS, with_tables
@@ -91,11 +91,8 @@ def folder(spark: SparkSession, sf_dir: str) -> str:
 SELECT page_id || {SUFFIX_SQL} AS file, CAST(size AS BIGINT) AS length FROM page_fields WHERE {TAKEN}
 """))
 def src_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = durable_path(spark, "found")
-    stream = with_file_name(new_files(spark, folder(spark, sf_dir))).select("file", "length")
-    writer = stream.writeStream.format("parquet").option("checkpointLocation", durable_path(spark, "checkpoint"))
-    writer.trigger(availableNow=True).start(out).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+    found = find_new_files(spark, Layout(durable_path(spark, "found"), DS2), folder(spark, sf_dir))
+    return with_file_name(found).select("file", "length")
 
 
 @query("extract_pages", with_tables(PAGES, """
@@ -247,7 +244,7 @@ page_lines AS (
 def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = durable_path(spark, "ingested")
     ingest_stream(
-        spark, DS2, folder(spark, sf_dir), out, durable_path(spark, "checkpoint"), DS2_EXTRACTOR, buckets=8
+        spark, DS2, folder(spark, sf_dir), out, DS2_EXTRACTOR, buckets=8
     ).awaitTermination()
     return silver_table(spark, out, DS2)
 

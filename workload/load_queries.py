@@ -136,7 +136,7 @@ def silver_upsert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = durable_path(spark, "silver-ds2")
     for cut in CUTS:
         upsert_table(spark, path, ds2_snapshot(spark, sf_dir, cut), "unique_invoice_line_no", buckets=8)
-    return read_table(spark, path, SILVER_DS2)
+    return read_table(spark, path, SILVER_DS2, "unique_invoice_line_no")
 
 
 @query("gold_dim_buyer", with_tables(GOLD, "SELECT * FROM dim_buyer"))
