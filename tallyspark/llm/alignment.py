@@ -14,7 +14,9 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,7 +30,10 @@ from tallyspark.session import staged
 
 # Text that is encoded at once, links that are listed at once, and id pairs of a block, counted per document.
 BATCH_BYTES, LINKS, BLOCK_PAIRS = 1 << 20, 2_000_000, 400_000
-SPACE = "▁"  # fixed value: how pieces write a space
+# How pieces write a space, and how byte-level vocabularies cut words.
+SPACE = "▁"
+WORDS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+LONG_BLANK = re.compile(r"\s{1000}")  # the pattern above runs out of stack on longer ones
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -49,6 +54,7 @@ class Pair:
     """Both tokenizers, the bytes of their tokens, and the text that tokens are written as in an alignment."""
 
     byte_level: object
+    quick: object | None
     pieces: object
     a_bytes: list[bytes]
     b_bytes: list[bytes]
@@ -64,8 +70,35 @@ class Pair:
         self.written = np.array([f"{i}," for i in a] + [f"{i}|" for i in a] + [f"{i}," for i in b] + [f"{i};" for i in b], object)
 
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [e.ids for e in self.byte_level.encode_batch([" " + t for t in texts], add_special_tokens=False)]
-        return a, self.pieces.encode(texts, num_threads=1)
+        return [self.encode_bytes(" " + t) for t in texts], self.pieces.encode(texts, num_threads=1)
+
+    def encode_bytes(self, text: str) -> list[int]:
+        if self.quick is None or LONG_BLANK.search(text):
+            return self.byte_level.encode(text, add_special_tokens=False).ids
+        return self.quick.encode_ordinary(text)
+
+
+def quick_encoder(path: str, tokenizer: object) -> object | None:
+    """The same vocabulary in ``tiktoken``, which is several times as fast; None where its results could differ.
+
+    It joins the neighbours whose joined text comes first, whichever two tokens they are. That is the same if ids count
+    merges on from the 256 bytes and every token is encoded as itself: neighbours that no merge joins, but whose text is
+    a token, can then never be left over.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    model, alphabet, special = spec["model"], byte_alphabet(), {t["content"] for t in spec["added_tokens"]}
+    split = {k: spec["pre_tokenizer"][k] for k in ("type", "add_prefix_space", "use_regex")}
+    plain = {t: i for t, i in model["vocab"].items() if t not in special}
+    merged = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    if (split != {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True} or spec["normalizer"] or model["end_of_word_suffix"]
+            or any(len(t) != 1 for t, i in plain.items() if i < 256) or [plain.get(t) for t in merged] != list(range(256, len(plain)))
+            or any([p.value for p in tokenizer.model.tokenize(t)] != [t] for t in plain)):
+        return None
+    ranks = {bytes(alphabet[c] for c in t): i for t, i in plain.items()}
+    return tiktoken.Encoding("alignment", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={})
 
 
 @functools.lru_cache(maxsize=2)
@@ -79,7 +112,7 @@ def load(byte_level: str, pieces: str) -> Pair:
     alphabet = byte_alphabet()
     entries = {i: e for e, i in first.get_vocab(with_added_tokens=True).items()}
     a = [bytes(alphabet[c] for c in entries.get(i, "") if c in alphabet) for i in range(max(entries) + 1)]
-    return Pair(first, second, a, [piece_bytes(second.id_to_piece(i)) for i in range(second.get_piece_size())])
+    return Pair(first, quick_encoder(byte_level, first), second, a, [piece_bytes(second.id_to_piece(i)) for i in range(second.get_piece_size())])
 
 
 @dataclass

@@ -47,11 +47,15 @@ def groups_of(text, tools):
             yield i, at
 
     a, b = list(ends(a)), list(ends(b))
-    cuts = sorted({e for _, e in a} & {e for _, e in b})
-    out, last = [], 0
-    for cut in cuts:
-        out.append(([i for i, e in a if last < e <= cut], [i for i, e in b if last < e <= cut]))
-        last = cut
+    cuts = {e for _, e in a} & {e for _, e in b}
+    out = [([], [])]
+    for side, tokens in enumerate((a, b)):
+        at = 0
+        for i, e in tokens:
+            if at == len(out):
+                out.append(([], []))
+            out[at][side].append(i)
+            at += e in cuts
     return out
 
 
@@ -97,6 +101,24 @@ def test_query_equals_brute_force(spark, tools):
     assert sorted(map(tuple, got.collect())) == sorted(brute(rows, tools))
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.one_of(st.sampled_from(" \n\t'strevml.,1aé日👩"), st.characters(codec="utf-8")), max_size=60))
+def test_quick_encoder_equals_the_library(text):
+    pair = al.load(A, B)
+    assert pair.quick is not None
+    assert pair.encode_bytes(text) == pair.byte_level.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("text", [" " * 300_000, "\n \t" * 100_000, "a" * 300_000, "^" * 300_000, "é " * 100_000])
+def test_very_long_texts(text, tools):
+    pair = al.load(A, B)
+    kept, found = al.align_texts([text, "end"], pair)
+    ends = [set(np.cumsum(pair.a_length[found.a[: found.a_bounds[1]]])),
+            set(np.cumsum(pair.b_length[found.b[: found.b_bounds[1]]]))]
+    assert kept.tolist() == [0, 1] and int(found.group_bounds[1]) == len(ends[0] & ends[1])
+    assert pair.encode_bytes(text) == tools[0].encode(text, add_special_tokens=False).ids
+
+
 ODD = [(None, "one two"), (1, None), (2, ""), (3, " "), (4, "tabs\tand\n\nlines \r\x0b"), (4, "tabs\tand\n\nlines \r\x0b"), (5, "a▁b"), (6, "x\x00y"), (7, "<|endoftext|> <s> </s> <unk> <0x41>"),
        (8, "日本語のテキスト ñandú Ωμέγα 👩‍👩‍👧‍👦 ​﻿"), (9, "=" * 3000), (10, "0123456789" * 300), (11, "word " * 3000), (12, "é" * 700), (13, "ﬁ ½ ①  é")]
 
