@@ -1,7 +1,7 @@
 """Column helpers: casts, JSON access, keys, text and dates, document parsing."""
 
 from tallyspark.functions.dates import iso_weekday, month_abbr, weekday_name
-from tallyspark.functions.documents import document_type, is_valid, parse_documents, resolve_aliases
+from tallyspark.functions.documents import document_type, parse_documents, resolve_aliases, with_validity
 from tallyspark.functions.scalars import (
     clean_money,
     file_name,
@@ -21,8 +21,8 @@ from tallyspark.functions.scalars import (
 )
 
 __all__ = [
-    "clean_money", "document_type", "file_name", "has_document_suffix", "invoice_key", "is_valid",
+    "clean_money", "document_type", "file_name", "has_document_suffix", "invoice_key",
     "iso_weekday", "json_array", "json_scalar", "line_spend", "money_text", "month_abbr",
     "normalise_text", "other_bucket", "parse_documents", "resolve_aliases", "safe_date",
-    "safe_double", "safe_int", "safe_int_via_double", "surrogate_key", "weekday_name",
+    "safe_double", "safe_int", "safe_int_via_double", "surrogate_key", "weekday_name", "with_validity",
 ]

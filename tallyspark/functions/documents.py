@@ -82,34 +82,31 @@ def resolve_aliases(labels: Column, aliases: list[str] | tuple[str, ...]) -> Col
     return chain
 
 
-def is_valid(raw: Column, spec: SourceSpec) -> Column:
-    """Whether the JSON has the document's shape.
+def with_validity(df: DataFrame, json_col: str, spec: SourceSpec, out: str = "valid") -> DataFrame:
+    """Add whether the JSON has the document's shape.
 
-    Header and summary must be objects and items a list of objects; a leaf may be absent, null
-    or text.
-    """
-    document = F.try_parse_json(raw)
+    Header and summary must be objects and items a list of objects; a leaf may be absent, null or text.
 
+    A text is parsed once, in a projection of its own, and each section is read from it by path once. Inside one
+    expression each use would become a parse of its own.
+    """
     def kind(variant: Column) -> Column:
         return F.coalesce(F.schema_of_variant(variant), F.lit("VOID"))
 
-    def leaves_ok(variant: Column, section: Aliases) -> Column:
-        kinds = [kind(F.try_variant_get(variant, f"$.{name}", "variant")) for name in section]
-        return reduce(lambda a, b: a & b, [k.isin("STRING", "VOID") for k in kinds])
-
-    def is_object(variant: Column) -> Column:
-        return kind(variant).startswith("OBJECT")
-
-    header = F.try_variant_get(document, f"{spec.root}.header", "variant")
-    summary = F.try_variant_get(document, f"{spec.root}.summary", "variant")
-    items = F.try_variant_get(document, f"{spec.root}.items", "array<variant>")
-    items_ok = F.forall(items, lambda e: is_object(e) & leaves_ok(e, spec.items))
-    return F.coalesce(
-        is_object(header) & leaves_ok(header, spec.header)
-        & is_object(summary) & leaves_ok(summary, spec.summary)
-        & items.isNotNull() & items_ok,
-        F.lit(False),
+    def leaves_ok(leaves: Column, section: Aliases) -> Column:
+        kinds = [kind(F.try_element_at(leaves, F.lit(name))) for name in section]
+        return leaves.isNotNull() & reduce(lambda a, b: a & b, [k.isin("STRING", "VOID") for k in kinds])
+
+    parsed = df.withColumn("_document", F.try_parse_json(F.col(json_col)))
+    kinds = {"header": "map<string,variant>", "summary": "map<string,variant>", "items": "array<variant>"}
+    sections = {name: F.try_variant_get("_document", f"{spec.root}.{name}", kind) for name, kind in kinds.items()}
+    read = parsed.select(*df.columns, *[column.alias(f"_{name}") for name, column in sections.items()])
+    rows = F.transform("_items", lambda i: F.try_variant_get(i, "$", "map<string,variant>"))
+    valid = (
+        leaves_ok(F.col("_header"), spec.header) & leaves_ok(F.col("_summary"), spec.summary)
+        & F.col("_items").isNotNull() & F.forall(rows, lambda i: leaves_ok(i, spec.items))
     )
+    return read.select(*df.columns, F.coalesce(valid, F.lit(False)).alias(out))
 
 
-__all__ = ["document_type", "is_valid", "parse_documents", "resolve_aliases"]
+__all__ = ["document_type", "parse_documents", "resolve_aliases", "with_validity"]

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, StructType, VariantType
 
-from tallyspark.operators.versioned import DuplicateKeyError, Store, TableSpec, path_exists
+from tallyspark.operators.versioned import DuplicateKeyError, Store, TableSpec
 
 __all__ = ["DuplicateKeyError", "read_table", "upsert", "upsert_table"]
 
@@ -39,12 +39,13 @@ def _store(spark: SparkSession, path: str, schema: StructType, key: str, buckets
     return Store(spark, path, {TABLE: TableSpec(schema, key)}, buckets)
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType, key: str) -> DataFrame | None:
+def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame | None:
     """Rows of a table kept by ``upsert_table``.
 
     The schema is given, as a table may have been created by a batch without rows.
     """
-    return _store(spark, path, schema, key, 1).read(TABLE) if path_exists(spark, path) else None
+    version = _store(spark, path, schema, "", 1).version()
+    return _store(spark, path, schema, version.values["key"], 1).read(TABLE, at=version) if version.number else None
 
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: str, buckets: int = 256) -> None:
@@ -60,5 +61,6 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: str, bu
     except DuplicateKeyError:
         batch.drop()
         raise
+    batch.values["key"] = key
     batch.commit()
     store.compact()

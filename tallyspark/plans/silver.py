@@ -94,20 +94,25 @@ def _one_line(latest: DataFrame, counted: DataFrame) -> DataFrame:
 
 
 def _all_lines(latest: DataFrame, counted: DataFrame) -> DataFrame:
-    """All lines with their numbers. A line carries its own fields and no array of its document.
+    """All lines with their numbers, worked out in the arrays of each document before a line has a row.
 
-    The windows are over the lines of one document each.
+    Sorted lines are cut where the description changes, one row each; the counts of the gaps up to there are added up,
+    and the lines of a row are numbered on from that sum.
     """
-    lines = latest.select("*", F.posexplode("items").alias("pos", "item")).drop("items").withColumn("text", _sort_text(F.col("item.item_desc")))
-    document = Window.partitionBy("unique_invoice_no").orderBy("text", "pos")
-    equal = F.row_number().over(document) - F.rank().over(Window.partitionBy("unique_invoice_no").orderBy("text"))
-    ranked = lines.withColumns({"mark": F.dense_rank().over(Window.partitionBy("unique_invoice_no").orderBy("text")), "equal": equal})
-    # The lines in the gap below a mark are added at the first line with that description.
-    gap = F.when(F.col("equal") == 0, F.col("mark") - 1)
-    gaps = counted.select(F.col("unique_invoice_no").alias("_invoice"), "gap", "n")
-    met = ranked.withColumn("below", gap).join(gaps, (F.col("unique_invoice_no") == F.col("_invoice")) & (F.col("below") == F.col("gap")), "left")
-    smaller = F.coalesce(F.sum("n").over(document.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.lit(0))
-    return met.withColumn("number", smaller + F.col("equal") + 1)
+    gaps = counted.groupBy("unique_invoice_no").agg(F.map_from_entries(F.collect_list(F.struct("gap", "n"))).alias("gaps"))
+    item = F.transform("items", lambda i, at: F.struct(_sort_text(i["item_desc"]).alias("text"), at.alias("at"), i.alias("item")))
+    ordered = latest.join(gaps, "unique_invoice_no", "left").withColumn("items", F.array_sort(item))
+    begins = F.filter(F.sequence(F.lit(0), F.size("items") - 1),
+                      lambda at: (at == 0) | (F.get(F.col("items"), at - 1)["text"] != F.get(F.col("items"), at)["text"]))
+    ordered = ordered.withColumn("begins", begins)
+    parts = F.transform("begins", lambda begin, mark: F.slice(
+        "items", begin + 1, F.coalesce(F.get(F.col("begins"), mark + 1), F.size("items")) - begin))
+    marked = ordered.select("*", F.posexplode(parts).alias("mark", "part")).drop("items", "begins")
+    before = Window.partitionBy("unique_invoice_no").orderBy("mark").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    smaller = F.sum(F.coalesce(F.try_element_at("gaps", F.col("mark")), F.lit(0))).over(before)
+    numbered = marked.withColumn("smaller", smaller).drop("gaps")
+    lines = numbered.select("*", F.posexplode("part").alias("equal", "line")).drop("part")
+    return lines.withColumn("item", F.col("line.item")).withColumn("number", F.col("smaller") + F.col("equal") + 1)
 
 
 def _sort_text(description: Column) -> Column:

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tallyspark.functions import is_valid, json_array, json_scalar, parse_documents, resolve_aliases
+from tallyspark.functions import json_array, json_scalar, parse_documents, resolve_aliases, with_validity
 from tallyspark.operators import unnest_items
 from tallyspark.sources.registry import DS1, DS2, route, source_spec
 
@@ -96,7 +96,9 @@ def test_is_valid(spark):
     ]
     rows = spark.createDataFrame([(json.dumps(d), v) for d, v in verdicts] + [("{broken", False), (None, False)],
                                  "raw string, verdict boolean")
-    assert rows.filter(is_valid(F.col("raw"), DS2) != F.col("verdict")).count() == 0
+    checked = with_validity(rows, "raw", DS2)
+    assert checked.filter(F.col("valid") != F.col("verdict")).count() == 0
+    assert checked._jdf.queryExecution().optimizedPlan().toString().count("parseJson(") == 1
 
 
 def test_unnest_drops_documents_without_items(spark):

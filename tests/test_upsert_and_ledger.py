@@ -41,20 +41,20 @@ def test_upsert_scans_each_side_once(spark, tmp_path):
 
 def test_upsert_table_appends_batches(spark, tmp_path):
     path = str(tmp_path / "t")
-    assert read_table(spark, path, TABLE, "k") is None
+    assert read_table(spark, path, TABLE) is None
     upsert_table(spark, path, spark.range(200).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("v")), "k", 16)
     before = {p: p.stat().st_mtime_ns for p in (tmp_path / "t").glob("data/*/*/bucket=*/*.parquet")}
     assert before
     batch = spark.createDataFrame([("7", 2), ("new", 3)], SCHEMA)
     for _ in range(2):  # the second time changes nothing
         upsert_table(spark, path, batch, "k", 16)
-        table = read_table(spark, path, TABLE, "k")
+        table = read_table(spark, path, TABLE)
         assert table.columns == ["k", "v"] and table.count() == 201
         assert rows(table.filter("v > 1")) == [("7", 2), ("new", 3)]
     assert {p: p.stat().st_mtime_ns for p in before} == before
     with pytest.raises(DuplicateKeyError):
         upsert_table(spark, path, spark.createDataFrame([("7", 2), ("7", 3)], SCHEMA), "k", 16)
-    assert read_table(spark, path, TABLE, "k").count() == 201
+    assert read_table(spark, path, TABLE).count() == 201
 
 
 NOW = dt.datetime(2024, 1, 1, 12)

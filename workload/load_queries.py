@@ -33,12 +33,12 @@ CUTS = ["1997-01-01", "1999-01-01", "2100-01-01"]
 
 @query("silver_ds1", with_tables(SILVER1, f"SELECT {SILVER1_COLUMNS} FROM silver1"))
 def silver_ds1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.silver_ds1(fx.bronze(spark, sf_dir, 1))
+    return silver.silver_ds1_lines(fx.docs(spark, sf_dir, 1))
 
 
 @query("silver_ds1_all_lines", with_tables(SILVER1, f"SELECT {SILVER1_COLUMNS} FROM ds1_ranked WHERE doc_rank = 1"))
 def silver_ds1_all_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.silver_ds1(fx.bronze(spark, sf_dir, 1), keep="all_lines")
+    return silver.silver_ds1_lines(fx.docs(spark, sf_dir, 1), keep="all_lines")
 
 
 @query("silver_ds2", with_tables(LINES + "," + DS2_DOCS + "," + silver2("s"), f"SELECT {SILVER2_COLUMNS} FROM s"))
@@ -136,7 +136,7 @@ def silver_upsert_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = durable_path(spark, "silver-ds2")
     for cut in CUTS:
         upsert_table(spark, path, ds2_snapshot(spark, sf_dir, cut), "unique_invoice_line_no", buckets=8)
-    return read_table(spark, path, SILVER_DS2, "unique_invoice_line_no")
+    return read_table(spark, path, SILVER_DS2)
 
 
 @query("gold_dim_buyer", with_tables(GOLD, "SELECT * FROM dim_buyer"))

@@ -263,4 +263,4 @@ def doc_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     raw = variants(F.col("o_orderkey"), [text(s) for s in VALID_SHAPES + INVALID_SHAPES])
     rows = fx.table(spark, sf_dir, "orders").select("o_orderkey", raw.alias("raw"))
-    return rows.select("o_orderkey", fn.is_valid(F.col("raw"), DS1).alias("valid"))
+    return fn.with_validity(rows, "raw", DS1).select("o_orderkey", "valid")
