@@ -461,6 +461,10 @@ def _inverse_to(inverse: np.uint64, n: int) -> np.ndarray:
     return _CACHE["inverse"][: n + 1]
 
 
+def forget_powers() -> None:
+    _CACHE.clear()
+
+
 @functools.lru_cache(maxsize=4)
 def tokenizer(path: str) -> Tokenizer:
     """One per worker and file: what a worker has encoded serves its later tasks."""

@@ -26,6 +26,7 @@ EPOCHS, STEPS, BATCH, RATE = 9, 300, 64, 0.01  # small samples are read more oft
 THRESHOLD = 0.3
 LINES = 1024  # windows scored at once
 BYTES = 1 << 20  # text prepared at once
+WORDS = 1 << 14  # distinct words read at once
 
 _LOWER = np.array([c + 32 if 65 <= c <= 90 else c for c in range(256)], np.uint8)
 _WORD = np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
@@ -116,6 +117,15 @@ class Network:
         x = np.hstack([self.p["word"][word], np.add.reduceat(self.p["char"][char], first, axis=0) / np.maximum(many, 1)]) if len(word) else np.zeros((0, 2 * EMBED), np.float32)
         return x, x @ self.p["in"] + self.p["bias"]
 
+    def gates(self, ready: Prepared) -> np.ndarray:
+        """What all words give to the gates, some words at a time, and a row for places after the end."""
+        out = np.zeros((len(ready.word) + 1, 6 * HIDDEN), np.float32)
+        bounds = np.append(ready.first, len(ready.char))
+        for at in range(0, len(ready.word), WORDS):
+            end = min(at + WORDS, len(ready.word))
+            out[at:end] = self.inputs(ready.word[at:end], ready.char[bounds[at] : bounds[end]], bounds[at:end] - bounds[at])[1]
+        return out
+
     def read(self, gates: np.ndarray, ids: np.ndarray, keep: bool = False):
         """Logit of each window. ``ids`` has a window a row, -1 where it is over."""
         h, (n, length) = HIDDEN, ids.shape
@@ -186,39 +196,60 @@ class Prepared:
     first: np.ndarray
     ids: np.ndarray
     owner: np.ndarray  # text of each window
+    names: np.ndarray  # digests of the distinct words
 
 
 def prepare(texts: list[str]) -> Prepared:
     data, starts, ends, number, counts = words(texts)
     word, char, first = features(data, starts, ends)
+    names = _window_hash(data, starts, ends)
     begin = np.cumsum(counts) - counts
     firsts = [windows(int(c)) for c in counts]
     owner = np.repeat(np.arange(len(texts)), [len(f) for f in firsts])
     at = np.concatenate([*firsts, np.zeros(0, np.int64)])[:, None] + np.arange(WINDOW)
     there = at < counts[owner][:, None]
     if not len(number):
-        return Prepared(word, char, first, np.full(at.shape, -1, np.int32), owner)
+        return Prepared(word, char, first, np.full(at.shape, -1, np.int32), owner, names)
     index = np.minimum(begin[owner][:, None] + at, len(number) - 1)
-    return Prepared(word, char, first, np.where(there, number[index], -1).astype(np.int32), owner)
+    return Prepared(word, char, first, np.where(there, number[index], -1).astype(np.int32), owner, names)
 
 
-def logits(network: Network, texts: list[str]) -> np.ndarray:
-    """Largest logit over the windows of each text."""
-    out = np.full(len(texts), -np.inf, np.float32)
+def portions(texts: list[str]) -> Iterator[list[int]]:
+    """Numbers of texts that come to about ``BYTES`` characters together."""
     group, size = [], 0
-    groups = []
     for i, t in enumerate(texts):
         group.append(i)
         size += len(t)
         if size >= BYTES:
-            groups.append(group)
+            yield group
             group, size = [], 0
-    for group in [*groups, group]:
-        if not group:
-            continue
+    if group:
+        yield group
+
+
+def prepare_parts(texts: list[str]) -> Prepared:
+    """As ``prepare``, one portion at a time: only the words and windows of the others are held meanwhile."""
+    known: dict[int, int] = {}
+    parts, sizes = [], []
+    for group in portions(texts):
+        ready, before = prepare([texts[i] for i in group]), len(known)
+        number = np.array([known.setdefault(n, len(known)) for n in ready.names.tolist()], np.int32)
+        new, many = number >= before, np.diff(np.append(ready.first, len(ready.char)))
+        ids = np.where(ready.ids >= 0, number[ready.ids], np.int32(-1)) if len(number) else ready.ids
+        parts.append((ready.word[new], ready.char[np.repeat(new, many)].astype(np.int32), ids, ready.owner + group[0], ready.names[new]))
+        sizes.append(many[new])
+    bpe.forget_powers()  # as long as a portion
+    word, char, ids, owner, names = (np.concatenate(p) for p in zip(*parts, strict=True))
+    many = np.concatenate(sizes)
+    return Prepared(word, char, np.cumsum(many) - many, ids, owner, names)
+
+
+def logits(network: Network, texts: list[str]) -> np.ndarray:
+    """Largest logit over the windows of each text."""
+    out = np.full(len(texts), -np.inf, np.float32)
+    for group in portions(texts):
         ready = prepare([texts[i] for i in group])
-        _, gates = network.inputs(ready.word, ready.char, ready.first)
-        gates = np.vstack([gates, np.zeros((1, gates.shape[1]), np.float32)])  # for places after the end
+        gates = network.gates(ready)
         for at in range(0, len(ready.ids), LINES):
             np.maximum.at(out, np.array(group)[ready.owner[at : at + LINES]], network.read(gates, ready.ids[at : at + LINES]))
     return out
@@ -231,17 +262,16 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 1) -> Network:
     if len(texts) == 0 or labels.min() == labels.max():
         network.p["out"][:] = 0
         return network
-    ready = prepare(texts)
+    ready = prepare_parts(texts)
     first_window = np.searchsorted(ready.owner, np.arange(len(texts)))
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in network.p.items()}
     clock = 0
     for epoch in range(max(EPOCHS, STEPS // max(1, -(-len(texts) // BATCH)))):
         # which window decides: at first any, then the worst by the network so far
-        _, gates = network.inputs(ready.word, ready.char, ready.first)
-        gates = np.vstack([gates, np.zeros((1, gates.shape[1]), np.float32)])
         if epoch == 0:
             value = r.random(len(ready.ids)).astype(np.float32)
         else:
+            gates = network.gates(ready)
             value = np.concatenate([network.read(gates, ready.ids[a : a + LINES]) for a in range(0, len(ready.ids), LINES)])
         order = np.lexsort((-value, ready.owner))
         chosen = order[first_window]
