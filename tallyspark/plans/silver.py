@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tallyspark.functions import (
     clean_money,
+    document_type,
     invoice_key,
     parse_documents,
     safe_date,
@@ -16,7 +18,7 @@ from tallyspark.functions import (
     surrogate_key,
 )
 from tallyspark.operators.dedup import latest_per_key
-from tallyspark.schemas import SILVER_DS1, SILVER_DS2
+from tallyspark.schemas import SILVER_DS1, SILVER_DS2, columns
 from tallyspark.session import staged
 from tallyspark.sources.registry import DS1, DS2, SourceSpec
 
@@ -37,6 +39,13 @@ def documents(bronze: DataFrame, spec: SourceSpec) -> DataFrame:
     return parsed.select("id", "inserted_at", "d.header.*", "d.summary.*", F.col("d.items").alias("items"))
 
 
+def documents_type(spec: SourceSpec) -> StructType:
+    """The schema of ``documents``."""
+    fields = {f.name: f for f in document_type(spec).fields}
+    flat = [f for name in ("header", "summary") for f in fields[name].dataType.fields]
+    return StructType([*columns("id string, inserted_at timestamp").fields, *flat, fields["items"]])
+
+
 def ds1_invoice_no() -> Column:
     return invoice_key(
         (F.col("invoice_no"), "missingin"), (F.col("client_tax_id"), "missingcti"), (F.col("seller_tax_id"), "missingsti")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    ArrayType,
     BinaryType,
     BooleanType,
     DateType,
@@ -71,7 +72,9 @@ LEDGER = columns("source_id int, file string, state string, last_modified timest
 LISTED = columns("path string, modificationTime timestamp, length bigint")
 SEEN = columns("version string, path string, modificationTime timestamp, length bigint")
 
-EXTRACTED = columns("path string, modificationTime timestamp, json string, error string")
+# One page of a document as a model returns it: what it read, or else the plain text; and what becomes of all pages.
+PAGE = columns("extracted_data string, raw_text string")
+EXTRACTED = columns("path string, modificationTime timestamp, json string, error string").add("pages", ArrayType(PAGE))
 
 TABLES: dict[str, StructType] = {
     f"{BRONZE_DB}.ds_1_raw_json": BRONZE,

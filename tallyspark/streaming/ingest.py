@@ -31,8 +31,9 @@ from tallyspark.operators.extract import Extractor, accepted, extract_documents,
 from tallyspark.operators.quality import DataQualityError, gate
 from tallyspark.operators.versioned import DuplicateKeyError, Store, TableSpec, Transaction, delete_path, path_exists
 from tallyspark.plans.gold import star
-from tallyspark.plans.silver import documents, ds1_invoice_no, silver_ds1_lines, silver_ds2_lines
+from tallyspark.plans.silver import documents, documents_type, ds1_invoice_no, silver_ds1_lines, silver_ds2_lines
 from tallyspark.schemas import BRONZE, EXTRACTED, GOLD_DB, LEDGER, LISTED, SEEN, SILVER_DB, TABLES
+from tallyspark.session import staged
 from tallyspark.sources.bronze import bronze_envelope
 from tallyspark.sources.files import MAX_FILES_PER_BATCH, in_portions, list_files, not_seen, read_files, with_file_name
 from tallyspark.sources.ledger import PROCESSED, QUARANTINED, STARTED, UNPROCESSED, ledger_rows
@@ -66,10 +67,9 @@ class Layout:
         return f"{self.root}/tables/{self.spec.bucket}"
 
     def store(self, spark: SparkSession) -> Store:
-        parsed = documents(spark.createDataFrame([], BRONZE), self.spec).schema
         return Store(spark, self.folder, {
             "bronze": TableSpec(BRONZE, "id", replace=False),
-            "documents": TableSpec(StructType([*parsed.fields, StructField(INVOICE, StringType())]), INVOICE, replace=False),
+            "documents": TableSpec(documents_type(self.spec).add(INVOICE, StringType()), INVOICE, replace=False),
             "silver": TableSpec(TABLES[f"{SILVER_DB}.{self.spec.silver_table}"], LINE_KEY),
             "ledger": TableSpec(LEDGER, "file"),
             "seen": TableSpec(SEEN, "version", replace=False),
@@ -162,7 +162,7 @@ def load_files(files: DataFrame, layout: Layout, number: list[int], extractor: C
     _note_states(layout, with_file_name(files.select("path")), F.lit(STARTED))
     scratch = f"{layout.root}/extracted/{layout.spec.bucket}/{'-'.join(map(str, number))}"
     found = extract_documents(read_files(spark, there), layout.spec, extractor) if there else spark.createDataFrame([], EXTRACTED)
-    lost = spark.createDataFrame([(p, None, None, "FileNotFoundError") for p in paths if p not in set(there)], EXTRACTED)
+    lost = spark.createDataFrame([(p, None, None, "FileNotFoundError", None) for p in paths if p not in set(there)], EXTRACTED)
     found.unionByName(lost).write.mode("overwrite").parquet(scratch)
     extracted = spark.read.schema(EXTRACTED).parquet(scratch)
     rejected = quarantined(extracted)
@@ -215,15 +215,16 @@ def find_new_files(spark: SparkSession, layout: Layout, folder: str) -> DataFram
 
 def open_run(spark: SparkSession, layout: Layout, files: DataFrame, max_files: int) -> int:
     """Write ``files`` as the portions of a new run and note them as seen; returns how many there are."""
-    files = in_portions(files.select(*SEEN.names), max_files)
+    files = staged(files.select(*SEEN.names), "new-files")
+    count = files.count()
+    if not count:
+        return 0
+    files = in_portions(files, max_files) if count > max_files else files.withColumn("portion", F.lit(0))
     store = layout.store(spark)
     batch = store.transaction()
     number = batch.values.get("run", {"number": 0})["number"] + 1
-    queue = f"{layout.root}/queue/{layout.spec.bucket}/run={number}-{store.version().number}"
-    count, last = files.agg(F.count(F.lit(1)), F.max("portion")).first()
-    if not count:
-        return 0
-    files.select(*QUEUED.names).repartition(last + 1, "portion").write.partitionBy("portion").parquet(f"{queue}/files")
+    queue = f"{layout.root}/queue/{layout.spec.bucket}/run={number}-{batch.base.number}"
+    files.select(*QUEUED.names).repartition(-(-count // max_files), "portion").write.partitionBy("portion").parquet(f"{queue}/files")
     batch.put("seen", files.select(*SEEN.names), store.level_for(count))
     batch.put("ledger", _states(with_file_name(files.select("path")), layout, F.lit(UNPROCESSED)), store.level_for(count))
     batch.values["run"] = {"number": number, "queue": queue}

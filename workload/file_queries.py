@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import uuid
-from functools import partial
-
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyspark.functions import parse_documents
-from tallyspark.operators.extract import HtmlExtractor, accepted, extract_documents, first_page, page_payload, quarantined
+from tallyspark.operators import Store, key_counts
+from tallyspark.operators.extract import HtmlColumns, accepted, extract_documents, first_page, page_payload, quarantined
 from tallyspark.schemas import GOLD_DB, TABLES
 from tallyspark.session import durable_path, staged
 from tallyspark.sources import ddl, ledger
@@ -18,10 +17,10 @@ from tallyspark.sources.bronze import bronze_envelope
 from tallyspark.sources.export import sample_by_path
 from tallyspark.sources.files import with_file_name
 from tallyspark.sources.registry import DS2, route
-from tallyspark.streaming.ingest import Layout, find_new_files, ingest_stream, silver_table, upsert_stream
+from tallyspark.streaming.ingest import Layout, find_new_files, ingest_stream, load_bronze_batch, quarantined_rows, silver_table, upsert_stream
 from tallyspark.streaming.runs import Run, run_all
 from workload import fixtures as fx
-from workload.expected import GOLD, SILVER2_COLUMNS, with_tables
+from workload.expected import DS2_DOCS, GOLD, LINES, SILVER2_COLUMNS, silver2, with_tables
 from workload.load_queries import CUTS, MERGED, SNAPSHOTS
 from workload.registry import query
 
@@ -38,8 +37,8 @@ DS2_LABELS = {
     "items": {"Item": TITLE, "Quantity": CHARSET, "Rate": AD},
     "summary": {"Order ID": AD},
 }
-DS1_EXTRACTOR = partial(HtmlExtractor, DS1_LABELS)
-DS2_EXTRACTOR = partial(HtmlExtractor, DS2_LABELS)
+DS1_EXTRACTOR = HtmlColumns(DS1_LABELS)
+DS2_EXTRACTOR = HtmlColumns(DS2_LABELS)
 
 MODIFIED = "2024-01-01T00:00:00Z"
 
@@ -47,7 +46,7 @@ PAGES = f"""
 page_fields AS (
   SELECT page_id, url, right(html, 7) = '</html>' AS complete, regexp_extract(html, '{LANG}', 1) AS lang,
     regexp_extract(html, '{TITLE}', 1) AS title, regexp_extract(html, '{AD}', 1) AS ad,
-    regexp_extract(html, '{HOST}', 1) AS host, TRY_CAST(regexp_extract(html, '{CHARSET}', 1) AS BIGINT) AS qty,
+    regexp_extract(html, '{HOST}', 1) AS host, regexp_extract(html, '{CHARSET}', 1) AS charset, TRY_CAST(regexp_extract(html, '{CHARSET}', 1) AS BIGINT) AS qty,
     octet_length(encode(html)) AS size
   FROM pages
 )"""
@@ -151,12 +150,15 @@ def sample_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("bronze_envelope", with_tables(PAGES, """
 SELECT sha256('2|' || url || '|' || CAST(epoch_us(TIMESTAMP '2024-01-01 00:00:00') AS VARCHAR)) AS id, false AS exclude_from_silver,
+  '{"header":{"invoice_date":null,"client":' || to_json(lang) || ',"client_address":' || to_json(host) || '},"items":[{"item_desc":'
+  || to_json(title) || ',"item_qty":' || coalesce(to_json(nullif(charset, '')), 'null') || ',"item_rate":' || to_json(ad) || '}],"summary":{"order_id":' || to_json(ad)
+  || ',"discount":null,"shipping":null}}' AS raw_json,
   regexp_extract(url, '([^/]*)$', 1) AS "file_name_in_R2"
 FROM page_fields WHERE complete
 """))
 def envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
     extracted = extract_documents(page_files(spark, sf_dir), DS2, DS2_EXTRACTOR)
-    return bronze_envelope(accepted(extracted), DS2).select("id", "exclude_from_silver", "file_name_in_R2")
+    return bronze_envelope(accepted(extracted), DS2).select("id", "raw_json", "exclude_from_silver", "file_name_in_R2")
 
 
 @query("source_routing", """
@@ -265,6 +267,61 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver_table(spark, out, DS2).select(*[c.strip() for c in SILVER2_COLUMNS.split(",")])
 
 
+KEPT = LINES + "," + DS2_DOCS + f""",
+early AS (SELECT * FROM ds2_docs WHERE inserted_at < TIMESTAMP '{CUTS[0]}'),
+kept AS (SELECT * FROM ds2_docs WHERE inserted_at < TIMESTAMP '{CUTS[0]}' OR inserted_at >= TIMESTAMP '{CUTS[1]}')""" + "," + silver2(
+    "first", docs="early") + "," + silver2("last", docs="kept")
+
+
+@query("quarantined_batch", with_tables(KEPT, f"""
+SELECT 'silver' AS place, unique_invoice_line_no AS key, client, item_desc, item_rate, item_qty FROM last
+UNION ALL SELECT 'silver', unique_invoice_line_no, client, item_desc, item_rate, item_qty FROM first
+  WHERE unique_invoice_line_no NOT IN (SELECT unique_invoice_line_no FROM last)
+UNION ALL SELECT 'quarantine', id, NULL, NULL, NULL, NULL FROM ds2_docs
+  WHERE inserted_at >= TIMESTAMP '{CUTS[0]}' AND inserted_at < TIMESTAMP '{CUTS[1]}'
+"""))
+def quarantined_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three batches, of which the second has quantities below zero: it is kept apart and the third is loaded."""
+    rows, layout = fx.bronze(spark, sf_dir, 2), Layout(durable_path(spark, "quarantined"), DS2, 8)
+    bounds = ["1900-01-01", *CUTS]
+    for number, (since, until) in enumerate(zip(bounds, bounds[1:], strict=False)):
+        batch = rows.filter((F.col("inserted_at") >= F.lit(since).cast("timestamp")) & (F.col("inserted_at") < F.lit(until).cast("timestamp")))
+        if number == 1:
+            batch = batch.withColumn("raw_json", F.replace("raw_json", F.lit('"item_qty":"'), F.lit('"item_qty":"-')))
+        load_bronze_batch(batch, layout, [number], on_fail="continue")
+    lines = silver_table(spark, layout.root, DS2).select(
+        F.lit("silver").alias("place"), F.col("unique_invoice_line_no").alias("key"), "client", "item_desc", "item_rate", "item_qty")
+    held = quarantined_rows(spark, layout.root, DS2).select(F.lit("quarantine").alias("place"), F.col("id").alias("key"))
+    return lines.unionByName(held, allowMissingColumns=True)
+
+
+@query("dq_incremental", """
+WITH lines AS (
+  SELECT l_orderkey || '-' || l_linenumber AS line, l_partkey FROM lineitem WHERE NOT (l_linenumber = 7 AND l_orderkey % 4 < 3)
+)
+SELECT 'unique lineitem.line' AS test, line AS value, count(*) AS n_records FROM lines GROUP BY line HAVING count(*) > 1
+UNION ALL
+SELECT 'relationships lineitem.l_partkey part.p_partkey', CAST(l_partkey AS VARCHAR), count(*) FROM lines
+WHERE l_partkey NOT IN (SELECT p_partkey FROM part WHERE p_partkey % 2 = 0) GROUP BY l_partkey
+""")
+def dq_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four batches of lines and of parts with even keys; each batch takes back the seventh lines of the one before."""
+    store = Store(spark, durable_path(spark, "counts"), {key_counts.TABLE: key_counts.SPEC}, 8)
+    lines = fx.table(spark, sf_dir, "lineitem").select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line"), "l_partkey", "l_linenumber", (F.col("l_orderkey") % 4).alias("portion"))
+    parts = fx.table(spark, sf_dir, "part").filter("p_partkey % 2 = 0").select("p_partkey", (F.col("p_partkey") % 4).alias("portion"))
+    once = key_counts.unique_name("lineitem", "line")
+    known = key_counts.relationship_name("lineitem", "l_partkey", "part", "p_partkey")
+    for number in range(4):
+        come, gone = lines.filter(F.col("portion") == number), lines.filter((F.col("portion") == number - 1) & (F.col("l_linenumber") == 7))
+        batch = store.transaction()
+        key_counts.apply_changes(
+            batch, *(key_counts.changes(test, rows, column, sign) for test, column in ((once, "line"), (known, "l_partkey")) for rows, sign in ((come, 1), (gone, -1))),
+            key_counts.changes(known, parts.filter(F.col("portion") == number), "p_partkey", parent=True))
+        batch.commit()
+    return key_counts.failing(store)
+
+
 def whole_run(spark: SparkSession, sf_dir: str) -> tuple[Run, DataFrame]:
     """Both sources fed with the same pages, read as two kinds of document."""
     def build() -> tuple[Run, DataFrame]:
