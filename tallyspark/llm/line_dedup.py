@@ -40,14 +40,14 @@ def _prefix(percent: int) -> Column:
 
 
 def _lines(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Lines with tokens: doc_id, doc, line, a and b (digests of the set), n (its size), head (first tokens); and for each document one row with line -1, n its lines."""
+    """Lines with tokens: doc_id, doc, line, a and b (digests of the set), n (its size), head (short digests of the first tokens); and for each document one row with line -1, n its lines."""
     text = F.concat(F.array(F.lit("")), F.split("text", "\n"))
     # The outer form of explode: for the inner one Spark infers a filter that would cut the text again.
     cut = _named(docs).select("doc_id", "doc", (F.size(text) - 1).alias("lines"), F.posexplode_outer(text).alias("at", "row"))
     cut = cut.select("doc_id", "doc", "lines", (F.col("at") - 1).alias("line"), F.regexp_extract_all("row", F.lit(WORD), F.lit(0)).alias("words"))
     cut = cut.select("doc_id", "doc", "lines", "line", F.expr(_tokens(size)).alias("tokens"))
     kept = cut.select("doc_id", "doc", "lines", "line", "tokens", F.size("tokens").alias("n"))
-    head = F.slice("tokens", 1, F.greatest(_prefix(percent), F.lit(0)).cast("int"))
+    head = F.transform(F.slice("tokens", 1, F.greatest(_prefix(percent), F.lit(0)).cast("int")), lambda t: t.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
     return kept.select(  # lines without tokens stay: a filter on them would be moved to where the tokens are made, and make them twice
         "doc_id", "doc", "line", F.xxhash64("tokens").alias("a"), F.hash("tokens").alias("b"),
         F.when(F.col("line") < 0, F.col("lines")).otherwise(F.col("n")).alias("n"), head.alias("head"))
@@ -69,40 +69,54 @@ def _among(rows: DataFrame, tokens: DataFrame) -> DataFrame:
     A bitmap of the tokens turns most others away before rows move. It has ``WORDS`` words at most, whatever the
     number of tokens, so it can be broadcast; the join that follows is exact.
     """
-    word, bit = F.pmod(F.shiftrightunsigned("token", 6), F.lit(WORDS)), F.expr("shiftleft(1L, CAST(token & 63 AS INT))")
+    word, bit = F.pmod(F.shiftright("token", 6), F.lit(WORDS)), F.expr("shiftleft(1L, token & 63)")
     bitmap = tokens.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
     likely = rows.join(F.broadcast(bitmap), word == F.col("word")).where(F.col("bits").bitwiseAND(bit) != 0).select(*rows.columns)
     return likely.join(tokens, "token", "left_semi")
 
 
-def matches(lines: DataFrame, classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Pairs of similar classes (a, b, a2, b2), once each, for written tables of lines and of classes (a, b, first)."""
-    rows = lines.where("line >= 0 AND n > 0")
-    first = rows.select("a", "b", F.explode_outer("head").alias("token"))
-    # Tokens that occur twice, by counts alone, then the classes that have them, and of these tokens those of two classes.
-    twice = first.select("token").groupBy("token").count().where("count > 1").select("token")
-    near = staged(_among(first, staged(twice, "twice")).distinct(), "near")
-    shared = near.groupBy("token").agg(F.min("a").alias("low"), F.max("a").alias("high")).where("low < high").select("token")
-    matched = near.join(shared, "token", "left_semi").select("a", "b").distinct()
-    wanted = matched.join(classes.select("a", "b", "first.doc", "first.line"), ["a", "b"])
-    sets = staged(_sets(docs, wanted, size).dropDuplicates(["a", "b"]), "sets").withColumn("n", F.size("tokens"))
+def _prefixes(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b, n, first, token and rank of the rarest tokens of each class, of which similar ones share one."""
     each = sets.select("a", "b", "n", F.explode_outer("tokens").alias("token"))
     rarity = each.groupBy("token").count()
     rank = F.row_number().over(Window.partitionBy("a", "b").orderBy("count", "token"))
-    prefix = staged(each.join(rarity.where("count > 1"), "token").select("a", "b", "n", "token", "count"), "tokens")
+    rows = staged(each.join(rarity.where("count > 1"), "token").select("a", "b", "n", "token", "count"), "tokens")
     # Tokens that one class alone has come first in the order, but match nothing: they only move the others back.
     alone = F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("a", "b"))
-    prefix = prefix.withColumn("rank", rank + alone).where(F.col("rank") <= _prefix(percent)).select("a", "b", "n", "token", "rank")
-    other = prefix.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("n").alias("n2"), "token", F.col("rank").alias("rank2"))
+    prefix = rows.withColumn("rank", rank + alone).where(F.col("rank") <= _prefix(percent)).select("a", "b", "n", "token", "rank")
+    return staged(prefix.join(classes.select("a", "b", "first"), ["a", "b"]), "prefixes")
+
+
+def _verified(later: DataFrame, earlier: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Classes a, b of ``later`` that a class of ``earlier`` is similar to and comes before, for two tables of prefixes."""
+    other = earlier.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("n").alias("n2"), "token", F.col("rank").alias("rank2"), F.col("first").alias("first2"))
     least = F.ceil((F.col("n") + F.col("n2")) * percent / (100 + percent))  # tokens two similar sets have in common
     length = (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
     position = 1 + F.least(F.col("n") - F.col("rank"), F.col("n2") - F.col("rank2")) >= least - F.least("rank", "rank2") + 1
-    pairs = prefix.join(other, "token").where(((F.col("a") < F.col("a2")) | ((F.col("a") == F.col("a2")) & (F.col("b") < F.col("b2")))) & length & position)
-    pairs = pairs.select("a", "b", "a2", "b2").distinct()
+    pairs = later.join(other, "token").where((F.col("first2") < F.col("first")) & length & position).select("a", "b", "a2", "b2").distinct()
     full = sets.select("a", "b", "tokens")
     both = pairs.join(full, ["a", "b"]).join(full.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("tokens").alias("tokens2")), ["a2", "b2"])
     common = F.size(F.array_intersect("tokens", "tokens2"))
-    return both.where(100 * common >= percent * (F.size("tokens") + F.size("tokens2") - common)).select("a", "b", "a2", "b2")
+    return both.where(100 * common >= percent * (F.size("tokens") + F.size("tokens2") - common)).select("a", "b").distinct()
+
+
+def later_classes(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Classes a, b that an earlier one is similar to, for a written table of classes (a, b, first, head).
+
+    Each class meets the earliest class of each of its prefix tokens first, which is as many pairs as there are tokens;
+    only classes that find no match there meet all earlier ones.
+    """
+    # Tokens that two classes have; then the classes that have such a token. Digests of 31 bits only set aside less.
+    heads = classes.select("a", "b", F.explode_outer("head").alias("token"))
+    shared = heads.groupBy("token").agg(F.min("a").alias("low"), F.max("a").alias("high")).where("low < high").select("token")
+    matched = _among(heads, staged(shared, "shared")).select("a", "b").distinct()
+    wanted = matched.join(classes.select("a", "b", "first.doc", "first.line"), ["a", "b"])
+    sets = staged(_sets(docs, wanted, size).dropDuplicates(["a", "b"]), "sets").withColumn("n", F.size("tokens"))
+    prefix = _prefixes(classes, sets, percent)
+    earliest = prefix.groupBy("token").agg(F.min(F.struct("first", "a", "b", "n", "rank")).alias("e")).select("token", "e.*")
+    found = staged(_verified(prefix, earliest, sets, percent), "found")
+    rest = _verified(prefix.join(found, ["a", "b"], "left_anti"), prefix, sets, percent)
+    return found.unionByName(rest)
 
 
 def removals(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -117,12 +131,9 @@ def removals(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Da
     lines = staged(_lines(docs, size, percent), "lines")
     rows = lines.where("line >= 0 AND n > 0").withColumn("unnamed", F.col("doc_id").isNull())
     place = F.struct(*PLACE)
-    classes = staged(rows.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last")), "classes")
-    pairs = staged(matches(lines, classes, docs, size, percent), "matches")
-    firsts = classes.select("a", "b", "first")
-    sides = pairs.join(firsts, ["a", "b"]).join(firsts.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("first").alias("first2")), ["a2", "b2"])
-    later = sides.select(F.when(F.col("first") < F.col("first2"), F.struct(F.col("a2").alias("a"), F.col("b2").alias("b"))).otherwise(F.struct("a", "b")).alias("k"))
-    later = later.select("k.a", "k.b").distinct().withColumn("later", F.lit(True))
+    # Equal lines are one class before any token has a row of its own.
+    classes = staged(rows.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.first("head").alias("head")), "classes")
+    later = later_classes(classes, docs, size, percent).withColumn("later", F.lit(True))
     # Classes that lose lines: those with several places, and those that come after a similar one.
     losing = classes.join(later, ["a", "b"], "left").where(F.col("later") | (F.col("first") < F.col("last"))).select("a", "b", "first", F.coalesce("later", F.lit(False)).alias("later"))
     gone = rows.join(staged(losing, "losing"), ["a", "b"]).where(F.col("later") | (place > F.col("first")))
