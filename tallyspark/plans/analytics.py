@@ -113,10 +113,14 @@ def frequent_items(fact: DataFrame) -> DataFrame:
 
 
 def item_evolution(fact: DataFrame, item: str) -> DataFrame:
-    """Quantity and spend of one normalised item by date; a date with only NULLs stays NULL."""
-    spellings = fact.select("item_desc").distinct().filter(normalise_text(F.col("item_desc")) == F.lit(item))
+    """Quantity and spend of one normalised item by date; a date with only NULLs stays NULL.
+
+    A description without the item's longest word is turned away before it is normalised.
+    """
+    word = max(item.split(" "), key=len)
+    same = F.contains(F.replace("item_desc", F.lit(","), F.lit("")), F.lit(word)) & (normalise_text(F.col("item_desc")) == F.lit(item))
     return (
-        fact.join(spellings, "item_desc", "left_semi").groupBy("invoice_date")
+        fact.filter(same).groupBy("invoice_date")
         .agg(F.sum("item_qty").alias("total_qty"), F.sum("spend").alias("total_spend"))
         .orderBy("invoice_date")
     )
