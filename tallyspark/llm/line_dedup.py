@@ -18,6 +18,7 @@ from tallyspark.session import staged
 SHINGLE, PERCENT = 5, 80
 WORD = r"[^\x20\x09-\x0D]+"
 WORDS = 1 << 18  # words of the bitmap of tokens, 4 MB
+LAST = (1 << 63) - 1
 PLACE = ("unnamed", "doc_id", "doc", "line")  # order of lines: documents by doc_id, without one last, then by line
 
 
@@ -63,60 +64,66 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return words.select("key.a", "key.b", F.expr(_tokens(size)).alias("tokens"))
 
 
-def _among(rows: DataFrame, tokens: DataFrame) -> DataFrame:
-    """The rows whose token is in the table ``tokens``.
+def _among(rows: DataFrame, tokens: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows whose token is in the table ``tokens``; with ``how`` "inner", and the other columns of that table.
 
     A bitmap of the tokens turns most others away before rows move. It has ``WORDS`` words at most, whatever the
     number of tokens, so it can be broadcast; the join that follows is exact.
     """
-    word, bit = F.pmod(F.shiftright("token", 6), F.lit(WORDS)), F.expr("shiftleft(1L, token & 63)")
+    word, bit = F.pmod(F.shiftright("token", 6), F.lit(WORDS)), F.expr("shiftleft(1L, CAST(token & 63 AS INT))")
     bitmap = tokens.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
     likely = rows.join(F.broadcast(bitmap), word == F.col("word")).where(F.col("bits").bitwiseAND(bit) != 0).select(*rows.columns)
-    return likely.join(tokens, "token", "left_semi")
+    return likely.join(tokens, "token", how)
 
 
 def _prefixes(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b, n, first, token and rank of the rarest tokens of each class, of which similar ones share one."""
-    each = sets.select("a", "b", "n", F.explode_outer("tokens").alias("token"))
-    rarity = each.groupBy("token").count()
+    """a, b, n, at, token and rank of the rarest tokens of each class, of which similar ones share one.
+
+    ``at`` is the doc_id of the class's first line, the greatest number if that has none.
+    """
+    each = sets.select("a", "b", F.explode_outer("tokens").alias("token"))
+    rarity = staged(each.groupBy("token").count().where("count > 1"), "rarity")
     rank = F.row_number().over(Window.partitionBy("a", "b").orderBy("count", "token"))
-    rows = staged(each.join(rarity.where("count > 1"), "token").select("a", "b", "n", "token", "count"), "tokens")
+    sizes = sets.select("a", "b", "n").join(classes.select("a", "b", F.coalesce("first.doc_id", F.lit(LAST)).alias("at")), ["a", "b"])
+    rows = _among(each, rarity, "inner").withColumns({"rank": rank, "others": F.count(F.lit(1)).over(Window.partitionBy("a", "b"))})
     # Tokens that one class alone has come first in the order, but match nothing: they only move the others back.
-    alone = F.col("n") - F.count(F.lit(1)).over(Window.partitionBy("a", "b"))
-    prefix = rows.withColumn("rank", rank + alone).where(F.col("rank") <= _prefix(percent)).select("a", "b", "n", "token", "rank")
-    return staged(prefix.join(classes.select("a", "b", "first"), ["a", "b"]), "prefixes")
+    placed = rows.join(sizes, ["a", "b"]).withColumn("rank", F.col("rank") + F.col("n") - F.col("others"))
+    return staged(placed.where(F.col("rank") <= _prefix(percent)).select("a", "b", "n", "at", "token", "rank"), "prefixes")
 
 
-def _verified(later: DataFrame, earlier: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Classes a, b of ``later`` that a class of ``earlier`` is similar to and comes before, for two tables of prefixes."""
-    other = earlier.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("n").alias("n2"), "token", F.col("rank").alias("rank2"), F.col("first").alias("first2"))
+def _verified(later: DataFrame, earlier: DataFrame, order: Column, sets: DataFrame, percent: int) -> DataFrame:
+    """Similar pairs (a, b, a2, b2) of two tables of prefixes whose ``at`` and ``at2`` are in the given order."""
+    other = earlier.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("n").alias("n2"), "token", F.col("rank").alias("rank2"), F.col("at").alias("at2"))
     least = F.ceil((F.col("n") + F.col("n2")) * percent / (100 + percent))  # tokens two similar sets have in common
     length = (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
     position = 1 + F.least(F.col("n") - F.col("rank"), F.col("n2") - F.col("rank2")) >= least - F.least("rank", "rank2") + 1
-    pairs = later.join(other, "token").where((F.col("first2") < F.col("first")) & length & position).select("a", "b", "a2", "b2").distinct()
+    apart = (F.col("a") != F.col("a2")) | (F.col("b") != F.col("b2"))
+    pairs = staged(later.join(other, "token").where(order & apart & length & position).select("a", "b", "a2", "b2").distinct(), "pairs")
     full = sets.select("a", "b", "tokens")
     both = pairs.join(full, ["a", "b"]).join(full.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("tokens").alias("tokens2")), ["a2", "b2"])
     common = F.size(F.array_intersect("tokens", "tokens2"))
-    return both.where(100 * common >= percent * (F.size("tokens") + F.size("tokens2") - common)).select("a", "b").distinct()
+    return both.where(100 * common >= percent * (F.size("tokens") + F.size("tokens2") - common)).select("a", "b", "a2", "b2")
 
 
 def later_classes(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Classes a, b that an earlier one is similar to, for a written table of classes (a, b, first, head).
 
     Each class meets the earliest class of each of its prefix tokens first, which is as many pairs as there are tokens;
-    only classes that find no match there meet all earlier ones.
+    only classes that find no match there meet the others.
     """
     # Tokens that two classes have; then the classes that have such a token. Digests of 31 bits only set aside less.
     heads = classes.select("a", "b", F.explode_outer("head").alias("token"))
-    shared = heads.groupBy("token").agg(F.min("a").alias("low"), F.max("a").alias("high")).where("low < high").select("token")
-    matched = _among(heads, staged(shared, "shared")).select("a", "b").distinct()
+    shared = staged(heads.groupBy("token").count().where("count > 1").select("token"), "shared")
+    matched = _among(heads, shared).select("a", "b").distinct()
     wanted = matched.join(classes.select("a", "b", "first.doc", "first.line"), ["a", "b"])
     sets = staged(_sets(docs, wanted, size).dropDuplicates(["a", "b"]), "sets").withColumn("n", F.size("tokens"))
     prefix = _prefixes(classes, sets, percent)
-    earliest = prefix.groupBy("token").agg(F.min(F.struct("first", "a", "b", "n", "rank")).alias("e")).select("token", "e.*")
-    found = staged(_verified(prefix, earliest, sets, percent), "found")
-    rest = _verified(prefix.join(found, ["a", "b"], "left_anti"), prefix, sets, percent)
-    return found.unionByName(rest)
+    earliest = prefix.groupBy("token").agg(F.min(F.struct("at", "a", "b", "n", "rank")).alias("e")).select("token", "e.*")
+    found = staged(_verified(prefix, earliest, F.col("at2") < F.col("at"), sets, percent).select("a", "b").distinct(), "found")
+    rest = _verified(prefix.join(found, ["a", "b"], "left_anti"), prefix, F.col("at2") <= F.col("at"), sets, percent)
+    firsts = classes.select("a", "b", "first")
+    sides = rest.join(firsts, ["a", "b"]).join(firsts.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("first").alias("first2")), ["a2", "b2"])
+    return found.unionByName(sides.where(F.col("first2") < F.col("first")).select("a", "b").distinct())
 
 
 def removals(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
