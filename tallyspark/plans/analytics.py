@@ -60,30 +60,48 @@ def _sum_or_zero(column: str) -> Column:
     return F.coalesce(F.sum(column), F.lit(0))
 
 
+def _money(column: str) -> tuple[Column, Column]:
+    """Sum of amounts as a decimal, and the sum of the values that are none (NaN, above 10^22) as a float.
+
+    Spend has three places. Sums of floats lose some of them, more with every line and differently with every order.
+    """
+    amount = F.col(column).try_cast("decimal(28,6)")
+    return F.coalesce(F.sum(amount), F.lit(0).cast("decimal(38,6)")), F.sum(F.when(amount.isNull(), F.col(column)))
+
+
+def _spend_or_zero() -> Column:
+    exact, rest = _money("spend")
+    return exact.cast("double") + F.coalesce(rest, F.lit(0.0))
+
+
 def kpi_totals(df: DataFrame) -> DataFrame:
     return df.agg(
-        _sum_or_zero("spend").alias("total_spend"),
+        _spend_or_zero().alias("total_spend"),
         _sum_or_zero("item_qty").alias("total_qty"),
         F.count(F.lit(1)).alias("records"),
     )
 
 
 def kpi_formatted(df: DataFrame) -> DataFrame:
-    return kpi_totals(df).select(
-        money_text(F.col("total_spend")).alias("total_spend"),
+    """The totals as text. Cents are those of the decimal sum: a float has none left above some 10^14."""
+    exact, rest = _money("spend")
+    totals = df.agg(exact.alias("exact"), rest.alias("rest"), _sum_or_zero("item_qty").alias("total_qty"), F.count(F.lit(1)).alias("records"))
+    return totals.select(
+        F.when(F.col("rest").isNull(), money_text(F.round("exact", 2))).otherwise(
+            money_text(F.col("exact").cast("double") + F.col("rest"))).alias("total_spend"),
         F.format_number("total_qty", 0).alias("total_qty"),
         F.format_number("records", 0).alias("records"),
     )
 
 
 def spend_by_date(df: DataFrame) -> DataFrame:
-    return df.groupBy("invoice_date").agg(_sum_or_zero("spend").alias("spend")).orderBy("invoice_date")
+    return df.groupBy("invoice_date").agg(_spend_or_zero().alias("spend")).orderBy("invoice_date")
 
 
 def spend_treemap(df: DataFrame) -> DataFrame:
     """Spend per vendor and buyer, per vendor, and in total; ``level`` is 2, 1 and 0."""
     totals = df.rollup("vendor_desc", "buyer_desc").agg(
-        _sum_or_zero("spend").alias("spend"), F.grouping_id().alias("_grouped")
+        _spend_or_zero().alias("spend"), F.grouping_id().alias("_grouped")
     )
     level = F.when(F.col("_grouped") == 0, 2).when(F.col("_grouped") == 1, 1).otherwise(0)
     return totals.select("vendor_desc", "buyer_desc", level.alias("level"), "spend")
@@ -95,7 +113,7 @@ def spend_share(df: DataFrame, by: str) -> DataFrame:
     The bucket is chosen line by line, before summing.
     """
     name = other_bucket(F.col("spend"), F.col(by)).alias(by)
-    sums = df.select(name, "spend").groupBy(by).agg(_sum_or_zero("spend").alias("spend"))
+    sums = df.select(name, "spend").groupBy(by).agg(_spend_or_zero().alias("spend"))
     total = sums.agg(F.sum("spend")).scalar()
     return sums.select(by, "spend", (F.col("spend") / F.nullif(total, F.lit(0.0))).alias("share"))
 
