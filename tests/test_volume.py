@@ -6,8 +6,9 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from tallyspark.operators import Store, TableSpec
 from tallyspark.plans import gold, silver
-from tallyspark.schemas import SILVER_DS1
+from tallyspark.schemas import BRONZE, SILVER_DS1
 from workload import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
@@ -46,3 +47,14 @@ def test_one_line_per_invoice_moves_one_line_of_a_document(spark):
 def test_staged_tables_are_stored_by_zstd(spark):
     written = [p.name for p in Path(fx.stored_orders(spark, SF).inputFiles()[0].removeprefix("file://")).parent.glob("*.parquet")]
     assert written and all(".zstd." in name for name in written)
+
+
+def test_tables_without_a_key_are_written_where_they_are(spark, tmp_path):
+    store = Store(spark, str(tmp_path), {"t": TableSpec(BRONZE, None, replace=False)}, 8)
+    for n in range(9):
+        batch = store.transaction()
+        batch.put("t", spark.createDataFrame([(str(n), "{}", None, False, "f")], BRONZE))
+        batch.commit()
+        store.compact()
+    assert sorted(r.id for r in store.read("t").collect()) == [str(n) for n in range(9)]
+    assert not list(tmp_path.glob("data/t/*/bucket=*")) and len(store.version().tables["t"]) == 2
