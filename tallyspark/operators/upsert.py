@@ -57,7 +57,7 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, key: str, bu
     store = _store(spark, path, source.schema, key, buckets)
     batch = store.transaction()
     try:
-        batch.put(TABLE, source, check_keys=True)
+        batch.put(TABLE, source, check_keys=True, in_place=True)
     except DuplicateKeyError:
         batch.drop()
         raise

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyspark.operators import Store, TableSpec
 from tallyspark.plans import gold, silver
-from tallyspark.schemas import BRONZE, SILVER_DS1
+from tallyspark.schemas import BRONZE, SILVER_DS1, columns
 from workload import fixtures as fx
 
 SF = "/root/testdata/sf0.001"
@@ -58,3 +58,21 @@ def test_tables_without_a_key_are_written_where_they_are(spark, tmp_path):
         store.compact()
     assert sorted(r.id for r in store.read("t").collect()) == [str(n) for n in range(9)]
     assert not list(tmp_path.glob("data/t/*/bucket=*")) and len(store.version().tables["t"]) == 2
+
+
+def test_last_segment_stays_in_place_and_keys_alone_meet_older_rows(spark, tmp_path):
+    """Reading moves no row of the last segment, and a batch out of a shuffle is written without another one."""
+    store = Store(spark, str(tmp_path), {"t": TableSpec(columns("k string, v bigint"), "k")}, 8)
+    for n in range(3):
+        batch = store.transaction()
+        batch.put("t", spark.range(n, n + 50).selectExpr("CAST(id AS STRING) AS k", f"CAST({n} AS BIGINT) AS v"), check_keys=True, in_place=True)
+        batch.commit()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = store.read("t")
+        assert {r.k: r.v for r in table.collect()} == {str(k): 2 if k >= 2 else k for k in range(52)} and table.count() == 52
+        tree = table._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Window" not in tree and tree.count("Join") == 1 and tree.count("Aggregate") == 1  # the keys of later segments
+    assert len(list(tmp_path.glob("data/t/*/bucket=*/*.parquet"))) >= 12
