@@ -46,16 +46,20 @@ def _failures(children: Column, parents: Column) -> Column:
 def apply_changes(batch: Transaction, *parts: DataFrame) -> dict[str, int]:
     """Bring the counts up to date within a batch and return the failures of every test so far.
 
-    Rows of one value are added up before they are shuffled, so a value may have any share of the rows.
+    Rows of one value are added up before they are shuffled, so a value may have any share of the rows. They are shuffled once:
+    by the key that earlier counts are looked up by, in the tasks that write them. The buckets to read follow from the rows as they come.
     """
-    summed = reduce(DataFrame.unionByName, parts).groupBy("test", "value").agg(F.sum("children").alias("children"), F.sum("parents").alias("parents"))
-    summed = summed.filter("children != 0 OR parents != 0").withColumn("key", F.concat_ws("\x00", "test", "value"))
-    before = batch.store.read(TABLE, batch.store.touched(summed.select("key")), batch.base).select(
+    keyed = reduce(DataFrame.unionByName, parts).select(F.concat_ws("\x00", "test", "value").alias("key"), "children", "parents")
+    summed = keyed.groupBy("key").agg(F.sum("children").alias("children"), F.sum("parents").alias("parents"))
+    test = F.substring_index("key", "\x00", 1)
+    summed = summed.filter("children != 0 OR parents != 0").withColumns({"test": test, "value": F.expr("substring(key, instr(key, chr(0)) + 1)")})
+    touched = batch.store.touched(keyed.select("key")) if batch.base.tables.get(TABLE) else []
+    before = batch.store.read(TABLE, touched, batch.base).select(
         "key", F.col("children").alias("children_before"), F.col("parents").alias("parents_before"))
     was = {c: F.coalesce(f"{c}_before", F.lit(0)) for c in ("children", "parents")}
     now = summed.join(before, "key", "left").select(
         "key", "test", "value", *[(F.col(c) + was[c]).alias(c) for c in was], *[was[c].alias(f"{c}_before") for c in was])
-    written = batch.put(TABLE, now)
+    written = batch.put(TABLE, now, in_place=True)
     more = _failures(F.col("children"), F.col("parents")) - _failures(F.col("children_before"), F.col("parents_before"))
     totals = dict(batch.values.get("failures", {}))
     for test, n in written.groupBy("test").agg(F.sum(more).alias("n")).collect():  # one row per test

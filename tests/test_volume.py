@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from tallyspark.operators import Store, TableSpec
+from tallyspark.operators import Store, TableSpec, key_counts
 from tallyspark.plans import gold, silver
 from tallyspark.schemas import BRONZE, SILVER_DS1, columns
 from workload import fixtures as fx
@@ -76,3 +76,20 @@ def test_last_segment_stays_in_place_and_keys_alone_meet_older_rows(spark, tmp_p
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "Window" not in tree and tree.count("Join") == 1 and tree.count("Aggregate") == 1  # the keys of later segments
     assert len(list(tmp_path.glob("data/t/*/bucket=*/*.parquet"))) >= 12
+
+
+def test_key_counts_are_shuffled_once_in_a_first_batch(spark, tmp_path, monkeypatch):
+    store, plans = Store(spark, str(tmp_path), {key_counts.TABLE: key_counts.SPEC}, 8), []
+    write = Store.write_segment
+
+    def seen(self, table, rows, *rest):
+        plans.append(plan(rows))
+        return write(self, table, rows, *rest)
+
+    monkeypatch.setattr(Store, "write_segment", seen)
+    batch = store.transaction()
+    rows = spark.range(100).selectExpr("concat('a', chr(0), id % 90) AS id")
+    assert key_counts.apply_changes(batch, key_counts.changes(key_counts.unique_name("t", "id"), rows, "id")) == {"unique t.id": 10}
+    batch.commit()
+    assert plans[0].count("Exchange hashpartitioning") == 2  # of the changes, and of the counts before, which are none
+    assert {(r.test, r.value, r.n_records) for r in key_counts.failing(store).collect()} == {("unique t.id", f"a\x00{k}", 2) for k in range(10)}
