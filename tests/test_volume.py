@@ -44,6 +44,15 @@ def test_one_line_per_invoice_moves_one_line_of_a_document(spark):
     assert shuffled and not any("items" in line for line in shuffled)
 
 
+def test_lines_are_placed_where_their_document_meets_the_marks(spark, conf):
+    """Shuffled are ranked documents, documents with their texts, marks, and counts: no line by itself."""
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    docs = silver.documents(fx.bronze(spark, SF, 1), silver.DS1).filter("size(items) > 0").withColumn("unique_invoice_no", silver.ds1_invoice_no())
+    tree = plan(silver._lines_per_gap(docs, "all_lines"))
+    assert tree.count("Exchange hashpartitioning") == 4 and tree.count("Join") == 1
+    assert not [line for line in tree.split("\n") if "Exchange hashpartitioning" in line and "text" in line]
+
+
 def test_staged_tables_are_stored_by_zstd(spark):
     written = [p.name for p in Path(fx.stored_orders(spark, SF).inputFiles()[0].removeprefix("file://")).parent.glob("*.parquet")]
     assert written and all(".zstd." in name for name in written)
