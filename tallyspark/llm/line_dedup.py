@@ -13,11 +13,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyspark.session import staged
+from tallyspark.llm import bitmap
+from tallyspark.session import discard, staged
 
 SHINGLE, PERCENT = 5, 80
 WORD = r"[^\x20\x09-\x0D]+"
-WORDS = 1 << 18  # words of the bitmap of tokens, 4 MB
 LAST = (1 << 63) - 1
 PLACE = ("unnamed", "doc_id", "doc", "line")  # order of lines: documents by doc_id, without one last, then by line
 
@@ -57,7 +57,8 @@ def _lines(docs: DataFrame, size: int, percent: int) -> DataFrame:
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     """a, b and tokens of the wanted lines (a, b, doc, line), read again from their documents."""
     lines = wanted.groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("line", F.struct("a", "b")))).alias("wanted"))
-    found = _named(docs).select("doc", "text").join(lines, "doc")
+    # A repeated document once: the join has its rows together already, while tokens would have to be moved for it.
+    found = _named(docs).select("doc", "text").join(lines, "doc").dropDuplicates(["doc"])
     cut = found.select("wanted", F.posexplode_outer(F.split("text", "\n")).alias("line", "row"))
     picked = cut.select(F.col("wanted")[F.col("line")].alias("key"), "row").where(F.col("key").isNotNull())
     words = picked.select("key", F.regexp_extract_all("row", F.lit(WORD), F.lit(0)).alias("words"))
@@ -67,13 +68,9 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 def _among(rows: DataFrame, tokens: DataFrame, how: str = "left_semi") -> DataFrame:
     """The rows whose token is in the table ``tokens``; with ``how`` "inner", and the other columns of that table.
 
-    A bitmap of the tokens turns most others away before rows move. It has ``WORDS`` words at most, whatever the
-    number of tokens, so it can be broadcast; the join that follows is exact.
+    A bitmap of the tokens turns most others away before rows move.
     """
-    word, bit = F.pmod(F.shiftright("token", 6), F.lit(WORDS)), F.expr("shiftleft(1L, CAST(token & 63 AS INT))")
-    bitmap = tokens.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
-    likely = rows.join(F.broadcast(bitmap), word == F.col("word")).where(F.col("bits").bitwiseAND(bit) != 0).select(*rows.columns)
-    return likely.join(tokens, "token", how)
+    return bitmap.likely(rows, tokens, "token").join(tokens, "token", how)
 
 
 def _prefixes(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -88,7 +85,9 @@ def _prefixes(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     rows = _among(each, rarity, "inner").withColumns({"rank": rank, "others": F.count(F.lit(1)).over(Window.partitionBy("a", "b"))})
     # Tokens that one class alone has come first in the order, but match nothing: they only move the others back.
     placed = rows.join(sizes, ["a", "b"]).withColumn("rank", F.col("rank") + F.col("n") - F.col("others"))
-    return staged(placed.where(F.col("rank") <= _prefix(percent)).select("a", "b", "n", "at", "token", "rank"), "prefixes")
+    prefix = staged(placed.where(F.col("rank") <= _prefix(percent)).select("a", "b", "n", "at", "token", "rank"), "prefixes")
+    discard(rarity)
+    return prefix
 
 
 def _verified(later: DataFrame, earlier: DataFrame, order: Column, sets: DataFrame, percent: int) -> DataFrame:
@@ -100,7 +99,9 @@ def _verified(later: DataFrame, earlier: DataFrame, order: Column, sets: DataFra
     apart = (F.col("a") != F.col("a2")) | (F.col("b") != F.col("b2"))
     pairs = staged(later.join(other, "token").where(order & apart & length & position).select("a", "b", "a2", "b2").distinct(), "pairs")
     full = sets.select("a", "b", "tokens")
-    both = pairs.join(full, ["a", "b"]).join(full.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("tokens").alias("tokens2")), ["a2", "b2"])
+    full2 = full.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("tokens").alias("tokens2"))
+    # Few sets are in a pair: the others stay where they are.
+    both = pairs.join(bitmap.likely(full, pairs, "a"), ["a", "b"]).join(bitmap.likely(full2, pairs, "a2"), ["a2", "b2"])
     common = F.size(F.array_intersect("tokens", "tokens2"))
     return both.where(100 * common >= percent * (F.size("tokens") + F.size("tokens2") - common)).select("a", "b", "a2", "b2")
 
@@ -115,15 +116,19 @@ def later_classes(classes: DataFrame, docs: DataFrame, size: int, percent: int)
     heads = classes.select("a", "b", F.explode_outer("head").alias("token"))
     shared = staged(heads.groupBy("token").count().where("count > 1").select("token"), "shared")
     matched = _among(heads, shared).select("a", "b").distinct()
-    wanted = matched.join(classes.select("a", "b", "first.doc", "first.line"), ["a", "b"])
-    sets = staged(_sets(docs, wanted, size).dropDuplicates(["a", "b"]), "sets").withColumn("n", F.size("tokens"))
+    wanted = staged(matched.join(classes.select("a", "b", "first.doc", "first.line"), ["a", "b"]), "wanted")
+    written = staged(_sets(docs, wanted, size), "sets")
+    discard(shared, wanted)
+    sets = written.withColumn("n", F.size("tokens"))
     prefix = _prefixes(classes, sets, percent)
     earliest = prefix.groupBy("token").agg(F.min(F.struct("at", "a", "b", "n", "rank")).alias("e")).select("token", "e.*")
     found = staged(_verified(prefix, earliest, F.col("at2") < F.col("at"), sets, percent).select("a", "b").distinct(), "found")
     rest = _verified(prefix.join(found, ["a", "b"], "left_anti"), prefix, F.col("at2") <= F.col("at"), sets, percent)
     firsts = classes.select("a", "b", "first")
     sides = rest.join(firsts, ["a", "b"]).join(firsts.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("first").alias("first2")), ["a2", "b2"])
-    return found.unionByName(sides.where(F.col("first2") < F.col("first")).select("a", "b").distinct())
+    later = staged(found.unionByName(sides.where(F.col("first2") < F.col("first")).select("a", "b").distinct()), "later")
+    discard(written, prefix, found)
+    return later
 
 
 def removals(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -143,7 +148,9 @@ def removals(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Da
     later = later_classes(classes, docs, size, percent).withColumn("later", F.lit(True))
     # Classes that lose lines: those with several places, and those that come after a similar one.
     losing = classes.join(later, ["a", "b"], "left").where(F.col("later") | (F.col("first") < F.col("last"))).select("a", "b", "first", F.coalesce("later", F.lit(False)).alias("later"))
-    gone = rows.join(staged(losing, "losing"), ["a", "b"]).where(F.col("later") | (place > F.col("first")))
+    losing = staged(losing, "losing")
+    discard(classes)
+    gone = rows.join(losing, ["a", "b"]).where(F.col("later") | (place > F.col("first")))
     removed = gone.groupBy("doc").agg(F.array_sort(F.collect_set("line")).alias("removed"))
     documents = lines.where("line < 0").select("doc", "doc_id", F.col("n").alias("n_lines"))
     return documents.join(removed, "doc", "left").withColumn("removed", F.coalesce("removed", F.array().cast("array<int>")))

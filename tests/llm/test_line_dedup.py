@@ -64,3 +64,24 @@ def test_text_that_remains(spark):
 def test_empty_and_repeated(spark, rows):
     out = line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert [(r.n_lines, r.n_removed) for r in out] == [(1, 0)] * len(rows)
+
+
+def test_tables_are_deleted_once_nothing_reads_them(spark, monkeypatch):
+    made, gone = [], []
+    staged, discard = line_dedup.staged, line_dedup.discard
+    monkeypatch.setattr(line_dedup, "staged", lambda df, name: made.append(name) or staged(df, name))
+    monkeypatch.setattr(line_dedup, "discard", lambda *tables: gone.extend(tables) or discard(*tables))
+    docs = spark.createDataFrame(corpus(4) + corpus(4)[:30], "doc_id long, text string").repartition(3)
+    out = line_dedup.line_report(docs)
+    assert sorted(made) == sorted(["lines", "classes", "shared", "wanted", "sets", "rarity", "prefixes", "pairs", "found", "pairs", "later", "losing"])
+    assert len(gone) == 7 and out.count() == len(corpus(4)) + 30  # all but lines, losing, later and the pairs
+
+
+def test_tokens_do_not_move_for_repeated_documents(spark, conf):
+    conf(spark__sql__autoBroadcastJoinThreshold="-1")
+    docs = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (2, "g h i j k")], "doc_id long, text string")
+    wanted = line_dedup._named(docs).selectExpr("xxhash64(doc) AS a", "1 AS b", "doc", "0 AS line").distinct()
+    sets = line_dedup._sets(docs, wanted, 5)
+    plan = sets._jdf.queryExecution().executedPlan().toString()
+    assert sorted(len(r.tokens) for r in sets.collect()) == [1, 2]
+    assert not [line for line in plan.split("\n") if "Exchange hashpartitioning(a" in line and "tokens" in line]
