@@ -3,9 +3,10 @@
 A line's tokens are the digests of its runs of five words. Lines with equal sets are one class. Two
 sets with a Jaccard similarity of t share a token within the first n - ceil(t * n) + 1 of each, in any common order.
 
-That is used twice. In the order of digests, which needs no statistics, it sets aside the classes that share none of
-these tokens with another class: they match nothing. The rest are ordered by rarity, from exact
-counts over all of their tokens, and joined on their rarest tokens, with bounds on length and position, and verified.
+and with l more tokens in each they share l more. That is used twice. In the order of digests, which needs no statistics,
+it sets aside the classes that share too few of these tokens with others: they match nothing. The rest are ordered by rarity, from exact
+counts over all of their tokens, and joined on their rarest tokens, with bounds on length and position and on what bitmaps of
+the sets leave in common, and verified.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from tallyspark.llm import bitmap
 from tallyspark.session import discard, staged
 
 SHINGLE, PERCENT = 5, 80
-WORD = r"[^\x20\x09-\x0D]+"
+WORDS = 4  # 64-bit words of a set's bitmap
 LAST = (1 << 63) - 1
 PLACE = ("unnamed", "doc_id", "doc", "line")  # order of lines: documents by doc_id, without one last, then by line
 
@@ -29,40 +30,64 @@ def _named(docs: DataFrame) -> DataFrame:
                        F.unhex(F.md5(F.concat_ws(" ", F.coalesce(F.col("doc_id").cast("string"), F.lit("?")), text))).alias("doc"), text.alias("text"))
 
 
-def _tokens(size: int) -> str:
-    """SQL of the sorted distinct tokens of a line with ``words``."""
-    run = ", ".join(f"words[i + {k}]" for k in range(size))
-    return (f"CASE WHEN size(words) >= {size} THEN sort_array(array_distinct(transform(sequence(0, size(words) - {size}), i -> xxhash64({run})))) "
-            "ELSE CAST(array() AS ARRAY<BIGINT>) END")
+def _cut(text: Column) -> Column:
+    """The lines of a text, with a space for every other blank."""
+    for blank in "\t\x0b\x0c\r":
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return F.split(text, "\n")
+
+
+def _once(rows: DataFrame, column: Column, name: str) -> DataFrame:
+    """``rows`` with one more column, which is made once even if several others are made from it: a Project would be merged with theirs."""
+    return rows.select("*", F.explode_outer(F.array(column)).alias(name))
+
+
+def _with_tokens(rows: DataFrame, size: int) -> DataFrame:
+    """``rows`` with the sorted distinct tokens of their ``row``, a line; none if it has fewer words."""
+    run = f"xxhash64({', '.join(f'words[i + {k}]' for k in range(size))})"
+    runs = F.expr(f"CASE WHEN size(words) >= {size} THEN transform(sequence(0, size(words) - {size}), i -> {run}) ELSE CAST(array() AS ARRAY<BIGINT>) END")
+    found = _once(_once(rows, F.array_remove(F.split("row", " "), ""), "words"), runs, "runs")
+    return _once(found, F.sort_array(F.array_distinct("runs")), "tokens").drop("row", "words", "runs")
+
+
+def _least(n: Column, percent: int) -> Column:
+    """Tokens that a set of ``n`` has in common with a similar one, at least."""
+    return F.ceil(n * percent / 100)
 
 
 def _prefix(percent: int) -> Column:
-    return F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    return F.col("n") - _least(F.col("n"), percent) + 1
+
+
+def _met(n: Column, percent: int) -> Column:
+    """How many common tokens a set of ``n`` shows in its head; it never falls with ``n``."""
+    return F.least(_least(n, percent), F.floor(n / 20) + 2)
 
 
 def _lines(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Lines with tokens: doc_id, doc, line, a and b (digests of the set), n (its size), head (short digests of the first tokens); and for each document one row with line -1, n its lines."""
-    text = F.concat(F.array(F.lit("")), F.split("text", "\n"))
+    text = F.concat(F.array(F.lit("")), _cut(F.col("text")))
     # The outer form of explode: for the inner one Spark infers a filter that would cut the text again.
-    cut = _named(docs).select("doc_id", "doc", (F.size(text) - 1).alias("lines"), F.posexplode_outer(text).alias("at", "row"))
-    cut = cut.select("doc_id", "doc", "lines", (F.col("at") - 1).alias("line"), F.regexp_extract_all("row", F.lit(WORD), F.lit(0)).alias("words"))
-    cut = cut.select("doc_id", "doc", "lines", "line", F.expr(_tokens(size)).alias("tokens"))
+    cut = _once(_named(docs), text, "texts").select("doc_id", "doc", (F.size("texts") - 1).alias("lines"), F.posexplode_outer("texts").alias("at", "row"))
+    cut = _with_tokens(cut.select("doc_id", "doc", "lines", (F.col("at") - 1).alias("line"), "row"), size)
     kept = cut.select("doc_id", "doc", "lines", "line", "tokens", F.size("tokens").alias("n"))
-    head = F.transform(F.slice("tokens", 1, F.greatest(_prefix(percent), F.lit(0)).cast("int")), lambda t: t.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
+    shown = F.greatest(_prefix(percent) - 1 + _met(F.col("n"), percent), F.lit(0)).cast("int")
+    head = F.transform(F.slice("tokens", 1, shown), lambda t: t.bitwiseAND(F.lit((1 << 31) - 1)).cast("int"))
     return kept.select(  # lines without tokens stay: a filter on them would be moved to where the tokens are made, and make them twice
         "doc_id", "doc", "line", F.xxhash64("tokens").alias("a"), F.hash("tokens").alias("b"),
         F.when(F.col("line") < 0, F.col("lines")).otherwise(F.col("n")).alias("n"), head.alias("head"))
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """a, b and tokens of the wanted lines (a, b, doc, line), read again from their documents."""
-    lines = wanted.groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("line", F.struct("a", "b")))).alias("wanted"))
-    # A repeated document once: the join has its rows together already, while tokens would have to be moved for it.
-    found = _named(docs).select("doc", "text").join(lines, "doc").dropDuplicates(["doc"])
-    cut = found.select("wanted", F.posexplode_outer(F.split("text", "\n")).alias("line", "row"))
-    picked = cut.select(F.col("wanted")[F.col("line")].alias("key"), "row").where(F.col("key").isNotNull())
-    words = picked.select("key", F.regexp_extract_all("row", F.lit(WORD), F.lit(0)).alias("words"))
-    return words.select("key.a", "key.b", F.expr(_tokens(size)).alias("tokens"))
+    """tokens of the wanted lines, cut again from their documents, and the columns of ``wanted`` (a, b, doc, line) but for the last two.
+
+    A bitmap of places keeps most other lines where they are.
+    """
+    place = F.xxhash64("doc", "line")
+    lines = _named(docs).select("doc", F.posexplode_outer(_cut(F.col("text"))).alias("line", "row")).withColumn("place", place)
+    found = bitmap.likely(lines, wanted.withColumn("place", place), "place").drop("place").join(wanted, ["doc", "line"])
+    # A repeated document once, before there are tokens: they would have to be moved for it.
+    return _with_tokens(found.dropDuplicates(["doc", "line"]).drop("doc", "line"), size)
 
 
 def _among(rows: DataFrame, tokens: DataFrame, how: str = "left_semi") -> DataFrame:
@@ -73,31 +98,37 @@ def _among(rows: DataFrame, tokens: DataFrame, how: str = "left_semi") -> DataFr
     return bitmap.likely(rows, tokens, "token").join(tokens, "token", how)
 
 
-def _prefixes(classes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b, n, at, token and rank of the rarest tokens of each class, of which similar ones share one.
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """a, b, n, at, token and rank of the rarest tokens of each class, of which similar ones share one; others and bits.
 
-    ``at`` is the doc_id of the class's first line, the greatest number if that has none.
+    ``at`` is the doc_id of the class's first line, the greatest number if that has none. ``others`` is how many tokens of
+    the set other classes have too, and ``bits`` has a bit for each of these, set if an odd number of them fall on it.
     """
-    each = sets.select("a", "b", F.explode_outer("tokens").alias("token"))
+    each = sets.select("a", "b", "n", "at", F.explode_outer("tokens").alias("token"))
     rarity = staged(each.groupBy("token").count().where("count > 1"), "rarity")
     rank = F.row_number().over(Window.partitionBy("a", "b").orderBy("count", "token"))
-    sizes = sets.select("a", "b", "n").join(classes.select("a", "b", F.coalesce("first.doc_id", F.lit(LAST)).alias("at")), ["a", "b"])
-    rows = _among(each, rarity, "inner").withColumns({"rank": rank, "others": F.count(F.lit(1)).over(Window.partitionBy("a", "b"))})
+    whole = Window.partitionBy("a", "b")
+    bit = F.expr("shiftleft(1L, CAST(token & 63 AS INT))")
+    words = {f"bits{k}": F.bit_xor(F.when(F.pmod(F.shiftright("token", 6), F.lit(WORDS)) == k, bit).otherwise(F.lit(0).cast("long"))).over(whole) for k in range(WORDS)}
+    rows = _among(each, rarity, "inner").withColumns({"rank": rank, "others": F.count(F.lit(1)).over(whole), **words})
     # Tokens that one class alone has come first in the order, but match nothing: they only move the others back.
-    placed = rows.join(sizes, ["a", "b"]).withColumn("rank", F.col("rank") + F.col("n") - F.col("others"))
-    prefix = staged(placed.where(F.col("rank") <= _prefix(percent)).select("a", "b", "n", "at", "token", "rank"), "prefixes")
+    placed = rows.withColumn("rank", F.col("rank") + F.col("n") - F.col("others"))
+    prefix = staged(placed.where(F.col("rank") <= _prefix(percent)).select("a", "b", "n", "at", "token", "rank", "others", F.struct(*words).alias("bits")), "prefixes")
     discard(rarity)
     return prefix
 
 
 def _verified(later: DataFrame, earlier: DataFrame, order: Column, sets: DataFrame, percent: int) -> DataFrame:
     """Similar pairs (a, b, a2, b2) of two tables of prefixes whose ``at`` and ``at2`` are in the given order."""
-    other = earlier.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("n").alias("n2"), "token", F.col("rank").alias("rank2"), F.col("at").alias("at2"))
+    other = earlier.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("n").alias("n2"), "token", F.col("rank").alias("rank2"), F.col("at").alias("at2"), F.col("others").alias("others2"), F.col("bits").alias("bits2"))
     least = F.ceil((F.col("n") + F.col("n2")) * percent / (100 + percent))  # tokens two similar sets have in common
     length = (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2"))
     position = 1 + F.least(F.col("n") - F.col("rank"), F.col("n2") - F.col("rank2")) >= least - F.least("rank", "rank2") + 1
+    # Each bit that differs is a token of one set alone.
+    alone = sum((F.bit_count(F.col(f"bits.bits{k}").bitwiseXOR(F.col(f"bits2.bits{k}"))) for k in range(WORDS)), F.lit(0))
+    common = F.col("others") + F.col("others2") - alone >= 2 * least
     apart = (F.col("a") != F.col("a2")) | (F.col("b") != F.col("b2"))
-    pairs = staged(later.join(other, "token").where(order & apart & length & position).select("a", "b", "a2", "b2").distinct(), "pairs")
+    pairs = staged(later.join(other, "token").where(order & apart & length & position & common).select("a", "b", "a2", "b2").distinct(), "pairs")
     full = sets.select("a", "b", "tokens")
     full2 = full.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("tokens").alias("tokens2"))
     # Few sets are in a pair: the others stay where they are.
@@ -107,21 +138,24 @@ def _verified(later: DataFrame, earlier: DataFrame, order: Column, sets: DataFra
 
 
 def later_classes(classes: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Classes a, b that an earlier one is similar to, for a written table of classes (a, b, first, head).
+    """Classes a, b that an earlier one is similar to, for a written table of classes (a, b, first, n, head).
 
     Each class meets the earliest class of each of its prefix tokens first, which is as many pairs as there are tokens;
     only classes that find no match there meet the others.
     """
-    # Tokens that two classes have; then the classes that have such a token. Digests of 31 bits only set aside less.
-    heads = classes.select("a", "b", F.explode_outer("head").alias("token"))
+    # Tokens that two classes have; then the classes that have enough of them. The smallest set that is similar shows
+    # the fewest common tokens. Digests of 31 bits only set aside less.
+    heads = classes.select("a", "b", "n", F.explode_outer("head").alias("token"))
     shared = staged(heads.groupBy("token").count().where("count > 1").select("token"), "shared")
-    matched = _among(heads, shared).select("a", "b").distinct()
-    wanted = staged(matched.join(classes.select("a", "b", "first.doc", "first.line"), ["a", "b"]), "wanted")
+    met = _among(heads, shared).groupBy("a", "b", "n").count()
+    matched = met.where(F.col("count") >= _met(_least(F.col("n"), percent), percent)).select("a", "b")
+    places = classes.select("a", "b", F.coalesce("first.doc_id", F.lit(LAST)).alias("at"), "first.doc", "first.line")
+    wanted = staged(matched.join(places, ["a", "b"]), "wanted")
     written = staged(_sets(docs, wanted, size), "sets")
     discard(shared, wanted)
     sets = written.withColumn("n", F.size("tokens"))
-    prefix = _prefixes(classes, sets, percent)
-    earliest = prefix.groupBy("token").agg(F.min(F.struct("at", "a", "b", "n", "rank")).alias("e")).select("token", "e.*")
+    prefix = _prefixes(sets, percent)
+    earliest = prefix.groupBy("token").agg(F.min(F.struct("at", "a", "b", "n", "rank", "others", "bits")).alias("e")).select("token", "e.*")
     found = staged(_verified(prefix, earliest, F.col("at2") < F.col("at"), sets, percent).select("a", "b").distinct(), "found")
     rest = _verified(prefix.join(found, ["a", "b"], "left_anti"), prefix, F.col("at2") <= F.col("at"), sets, percent)
     firsts = classes.select("a", "b", "first")
@@ -144,7 +178,7 @@ def removals(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> Da
     rows = lines.where("line >= 0 AND n > 0").withColumn("unnamed", F.col("doc_id").isNull())
     place = F.struct(*PLACE)
     # Equal lines are one class before any token has a row of its own.
-    classes = staged(rows.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.first("head").alias("head")), "classes")
+    classes = staged(rows.groupBy("a", "b").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.first("n").alias("n"), F.first("head").alias("head")), "classes")
     later = later_classes(classes, docs, size, percent).withColumn("later", F.lit(True))
     # Classes that lose lines: those with several places, and those that come after a similar one.
     losing = classes.join(later, ["a", "b"], "left").where(F.col("later") | (F.col("first") < F.col("last"))).select("a", "b", "first", F.coalesce("later", F.lit(False)).alias("later"))

@@ -4,6 +4,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallyspark.llm import line_dedup
 
@@ -85,3 +86,50 @@ def test_tokens_do_not_move_for_repeated_documents(spark, conf):
     plan = sets._jdf.queryExecution().executedPlan().toString()
     assert sorted(len(r.tokens) for r in sets.collect()) == [1, 2]
     assert not [line for line in plan.split("\n") if "Exchange hashpartitioning(a" in line and "tokens" in line]
+
+
+def family(rnd, copies=120):
+    """Lines that differ from one base in 3 of 100 words each: none is similar to another."""
+    base = [f"w{k}" for k in range(100)]
+    rows = []
+    for i in range(copies):
+        line = list(base)
+        for k in rnd.sample(range(5, 95, 6), 3):
+            line[k] = f"v{i}k{k}"
+        rows.append((i, " ".join(line)))
+    return rows
+
+
+def test_lines_of_a_family_are_not_all_verified(spark, monkeypatch):
+    """They share rare tokens, but bitmaps of the sets tell most of them apart before a pair is made."""
+    made = {}
+    staged = line_dedup.staged
+    monkeypatch.setattr(line_dedup, "staged", lambda df, name: made.setdefault(name, []).append(out := staged(df, name)) or out)
+    rows = family(random.Random(8))
+    got = {r.doc_id: list(r.removed) for r in line_dedup.removals(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows)
+    assert sum(t.count() for t in made["pairs"]) < 120 * 119 / 2 / 10
+
+
+def test_head_shows_enough_common_tokens(spark):
+    """Of two similar sets each has as many tokens of its head in the other's head as is asked for."""
+    for percent in (50, 80, 100):
+        frame = spark.range(1, 400).select(F.col("id").alias("n"), line_dedup._least(F.col("id"), percent).alias("least"), line_dedup._met(F.col("id"), percent).alias("met"))
+        by = {r.n: (r.least, r.met) for r in frame.collect()}
+        for n, (least, met) in by.items():
+            assert 1 <= met <= least  # that many are in common, and in the head of least common tokens
+            for n2 in range(least, n + 1):
+                common = max(by[n][0], by[n2][0])
+                assert min(by[n][1], by[n2][1], common) >= by[least][1]
+
+
+def test_blanks_of_all_kinds_part_words(spark):
+    rows = [(1, "a b c d e f g"), (2, "a\tb\x0bc\x0cd\re  f g "), (3, "a b c d e f g"), (4, "a b c d\x85e f g")]
+    got = {r.doc_id: list(r.removed) for r in line_dedup.removals(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows) == {1: [], 2: [0], 3: [], 4: []}
+
+
+def test_a_document_is_cut_once_for_its_lines(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f\ng h i j k")], "doc_id long, text string")
+    plan = line_dedup._lines(docs, 5, 80)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(replace(") == 1
